@@ -1,0 +1 @@
+"""Left empty on purpose: the operator surface is batch only, nothing in it streams."""
