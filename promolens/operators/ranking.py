@@ -37,7 +37,7 @@ def score_totals(counts: DataFrame) -> Column:
 
 def cumulative(scored: DataFrame, limits: Limits | None = None) -> DataFrame:
     """Per distinct score: n, pos, and both summed over this and all higher scores
-    (`cum_n`, `cum_pos`), with the totals in the struct `total`."""
+    (`cum_n`, `cum_pos`; `cum_score` sums the scores), with the totals in the struct `total`."""
     counts = score_counts(scored)
     keyed = counts.withColumn(ALL, F.lit(0))
     return (
@@ -46,6 +46,7 @@ def cumulative(scored: DataFrame, limits: Limits | None = None) -> DataFrame:
             [
                 Running("cum_n", "sum", F.col("n"), FROM),
                 Running("cum_pos", "sum", F.col("pos"), FROM),
+                Running("cum_score", "sum", F.col("score") * F.col("n"), FROM),
             ],
             Layout.of(keyed, [ALL], "score", limits, weight="n"),
         )
@@ -76,31 +77,27 @@ def at_cuts(
     table = cumulative(rows, limits).withColumns(
         {"n_total": F.col("total.n"), "pos_total": F.col("total.pos")}
     )
-    cum_n, above = F.col("cum_n"), F.col("cum_n") - F.col("n")
-
-    def whole(label, k: Column) -> Column:
-        split = (above < k) & (k < cum_n)
-        return F.struct(
-            F.lit(label).alias("cut"),
-            F.max(k).alias("k"),
-            F.coalesce(F.max(F.when(cum_n <= k, F.col("cum_pos"))), F.lit(0)).alias("pos"),
-            F.coalesce(F.sum(F.when(cum_n <= k, F.col("score") * F.col("n"))), F.lit(0.0)).alias(
-                "score_sum"
-            ),
-            F.max(F.when(split, F.col("score"))).alias("split_score"),
-            F.max(F.when(split, k - above)).alias("split_n"),
-            F.max("n_total").alias("n_total"),
-            F.max("pos_total").alias("pos_total"),
-        )
-
-    per_cut = table.agg(F.array(*[whole(label, k) for label, k in cuts]).alias("cuts")).select(
-        F.inline("cuts")
+    above = F.col("cum_n") - F.col("n")
+    wanted_cuts = F.array(
+        *[F.struct(F.lit(label).alias("cut"), k.alias("k")) for label, k in cuts]
+    )
+    # The row at rank k has exactly one score.
+    here = F.filter(wanted_cuts, lambda c: (above < c["k"]) & (c["k"] <= F.col("cum_n")))
+    per_cut = table.select("*", F.inline(here)).select(
+        "cut",
+        "k",
+        "score",
+        "n_total",
+        "pos_total",
+        (F.col("cum_pos") - F.col("pos")).alias("pos_above"),
+        "pos",
+        (F.col("cum_score") - F.col("score") * F.col("n")).alias("score_above"),
+        (F.col("k") - above).alias("taken"),
+        F.when(F.col("k") < F.col("cum_n"), F.col("k") - above).alias("split_n"),
     )
     # At most one row per cut: safe to broadcast.
     wanted = F.broadcast(
-        per_cut.where(F.col("split_n").isNotNull()).select(
-            "cut", F.col("split_score").alias("score"), "split_n"
-        )
+        per_cut.where(F.col("split_n").isNotNull()).select("cut", "score", "split_n")
     )
     split_scores = F.broadcast(wanted.select("score").distinct())
     tied = (
@@ -130,14 +127,12 @@ def at_cuts(
             ).alias("split_pos"),
         )
     )
+    found = F.when(F.col("split_n").isNull(), F.col("pos")).otherwise(F.col("split_pos"))
     return per_cut.join(partial, "cut", "left").select(
         "cut",
         "k",
-        (F.col("pos") + F.coalesce("split_pos", F.lit(0))).alias("positives"),
-        (
-            F.col("score_sum")
-            + F.coalesce(F.col("split_score") * F.col("split_n"), F.lit(0.0))
-        ).alias("score_sum"),
+        (F.col("pos_above") + found).alias("positives"),
+        (F.col("score_above") + F.col("score") * F.col("taken")).alias("score_sum"),
         "n_total",
         "pos_total",
     )

@@ -7,10 +7,10 @@ import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+
+def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Line-mode JSON scan; malformed records become NULL rows (PERMISSIVE), no inference job.
 
     A line that holds an array yields one row per element.
