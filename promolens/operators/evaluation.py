@@ -242,12 +242,13 @@ def gains_lift(
     else:
         n = F.col("n_total")
         cuts = [(i, F.ceil(n * i / F.lit(points)).cast("bigint")) for i in range(1, points + 1)]
-        rows = at_cuts(scored, cuts, tie, limits)
+        # With fewer rows than points, several points fall on one row.
+        rows = at_cuts(scored, cuts, tie, limits).drop("cut").distinct()
     population = ratio(F.col("k"), F.col("n_total"))
     gains = _over(F.col("positives"), F.col("pos_total"))
     return rows.select(
         "k", population.alias("population"), gains.alias("gains"), ratio(gains, population).alias("lift")
-    ).distinct()
+    )
 
 
 def decile_table(

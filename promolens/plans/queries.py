@@ -351,7 +351,7 @@ def queries() -> dict[str, Query]:
             "log", lambda df: quality.distinct_counts(df, ["event", "offer_id"], top_n=20)
         ),
         # univariate
-        "event_funnel": _on("log", s.event_funnel),
+        "event_funnel": _on("events", s.event_funnel),
         "age_histogram": _on("profile_raw", lambda df: s.customer_histogram(df, "age")),
         "age_box": _campaign(lambda c: s.customer_box(c.profile_raw, "age", None)),
         "limit_histogram": _on(
@@ -382,24 +382,30 @@ def queries() -> dict[str, Query]:
         "gender_without_view": _on("opportunities", lambda o: s.group_without_view(o, "gender")),
         "type_without_view": _on("opportunities", s.type_without_view),
         # spending
-        "tx_value_summary": _on("log", s.tx_value_summary),
-        "tx_log_histogram": _on("log", s.tx_log_histogram),
-        "tx_value_box": _campaign(lambda c: s.tx_value_box(c.log, c.limits)),
-        "sample_tx": _on("log", s.tx_sample),
+        "tx_value_summary": _on("events", s.tx_value_summary),
+        "tx_log_histogram": _on("events", s.tx_log_histogram),
+        "tx_value_box": _campaign(lambda c: s.tx_value_box(c.events, c.limits)),
+        "sample_tx": _on("events", s.tx_sample),
         # time
         "conversion_over_time": _on("opportunities", s.conversion_over_time),
         "engagement_by_week": _on("log", lambda df: s.engagement_by_week(df, "gender")),
         "engagement_by_week_age": _on("log", lambda df: s.engagement_by_week(df, "age_group")),
-        "registration_cohort": _campaign(lambda c: s.registration_cohort(c.log, c.opportunities)),
+        "registration_cohort": _campaign(
+            lambda c: s.registration_cohort(c.events, c.opportunities, c.registrations)
+        ),
         # signals
         "recency_conversion": _campaign(
             lambda c: s.recency_conversion(c.events, c.opportunities, c.limits)
         ),
         "registration_quartile": _campaign(
-            lambda c: s.registration_quartile(c.log, c.opportunities, 0, c.limits)
+            lambda c: s.registration_quartile(
+                c.events, c.opportunities, 0, c.registrations, c.limits
+            )
         ),
         "spend_band_conversion": _campaign(
-            lambda c: s.spend_band_conversion(c.log, c.opportunities, rel_error=0, limits=c.limits)
+            lambda c: s.spend_band_conversion(
+                c.events, c.opportunities, rel_error=0, limits=c.limits
+            )
         ),
         "spend_band_as_of": _campaign(
             lambda c: s.spend_band_conversion(
