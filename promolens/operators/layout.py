@@ -32,7 +32,7 @@ class Limits:
     """
 
     chunks: int = 4096
-    min_rows: int = 1_000_000
+    min_rows: int = 2_000_000
     at_most: int | None = None
 
 

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.functions.columns import ratio
+from promolens.functions.columns import grid_position, ratio
 from promolens.operators.layout import Limits
 from promolens.operators.ranking import at_cuts, score_counts
 
@@ -90,18 +90,23 @@ def profit_curve(
     grid: Sequence[float] | None = None,
 ) -> DataFrame:
     """(threshold, profit) of contacting everyone at or above each grid threshold."""
-    grid = sorted(default_grid() if grid is None else grid)
-    steps = F.array(*[F.lit(float(t)) for t in grid])
+    grid = sorted(float(t) for t in (default_grid() if grid is None else grid))
+    steps = F.array(*[F.lit(t) for t in grid])
     score = F.col("score")
     # A row counts for every grid value up to its score: fold rows by how many those are,
     # then each of the few folds for all the thresholds it reaches. Decimal sums do not depend
     # on their order, so thresholds that select the same rows tie exactly.
     weighted = score.cast("decimal(20,16)") * F.col("n").cast("decimal(14,0)")
-    reached = F.size(F.filter(steps, lambda t: t <= score))
+    # The fold number comes back as an aggregate: a filter on it then stays after the folding.
     folds = (
         score_counts(scored)
-        .groupBy(reached.alias("reached"))
-        .agg(F.sum("n").alias("n"), F.sum(weighted).alias("score_sum"))
+        .withColumn("_fold", grid_position("score", grid))
+        .groupBy("_fold")
+        .agg(
+            F.max("_fold").alias("reached"),
+            F.sum("n").alias("n"),
+            F.sum(weighted).alias("score_sum"),
+        )
         .where(F.col("reached") > 0)
     )
     profits = (
