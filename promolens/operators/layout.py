@@ -4,10 +4,11 @@ A scan over time (or over a score) needs all rows of a key in order. A key with
 share of all rows would put that share into one task, so such a key is cut along the order
 column into cells, and `scan.ordered_scan` carries totals from cell to cell.
 
-Everything here is decided from exact counts, so a recomputed task places a row in the same
-cell again. What is broadcast is bounded by counting, whatever the data: a key is hot only
-above `1/chunks` of all rows, so there are fewer than `chunks` hot keys, and heavy stretches
-are bounded in the same way.
+Everything here is decided from exact counts, over all rows or over those a hash picks, so a
+recomputed task places a row in the same cell again. What is broadcast is bounded by counting,
+whatever the data: a key is hot only above `1/chunks` of the counted rows, so there are fewer
+than `chunks` hot keys, and heavy stretches are bounded in the same way. The layout decides
+which task does what, never which rows count: the scan itself sees all of them.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CELL = "_cell"
+# A hot key is found by this many of its rows; large inputs need not count them all.
+WITNESSES = 10_000
 # Position of a cell = stretch number * STEP + part within the stretch.
 STEP = 1 << 24
 
@@ -73,6 +76,11 @@ class Layout:
         placed = rows.select(
             *keys, F.col(order).cast("double").alias("_x"), *([weight] if weight else [])
         ).where(_all_set([*keys, "_x"]))
+        one_in = 1 if weight else max(1, min(64, chunk // WITNESSES))
+        if one_in > 1:
+            # Keeps the count's own shuffle a fraction of the scan's.
+            placed = placed.where(F.pmod(F.xxhash64(*keys, "_x"), F.lit(one_in)) == 0)
+            chunk //= one_in
         hot = (
             placed.groupBy(*keys)
             .agg(n_rows.alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))

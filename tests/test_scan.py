@@ -96,3 +96,16 @@ def test_small_input_needs_no_cells(spark):
     df = spark.createDataFrame([("a", 1)], "k string, t bigint")
     assert Layout.of(df, ["k"], "t").single
     assert not Layout.of(df, ["k"], "t", Limits(min_rows=0)).single
+
+
+def test_layout_of_a_large_input_counts_by_hash(spark, monkeypatch):
+    import promolens.operators.layout as layout_module
+
+    monkeypatch.setattr(layout_module, "WITNESSES", 50)
+    df = spark.range(20_000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('k', id % 500)) as k", "id * 7 % 20011 as t", "1 as v"
+    )
+    layout = Layout.of(df, ["k"], "t", Limits(chunks=16, min_rows=1000))
+    assert [r["k"] for r in layout.hot.collect()] == ["hot"]
+    total = ordered_scan(df, [Running("n", "sum", F.col("v"), UPTO)], layout)
+    assert total.where("k = 'hot'").agg(F.max("n")).first()[0] == 6667
