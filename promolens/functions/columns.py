@@ -73,14 +73,14 @@ def bands(
     return out.otherwise(as_column(labels[-1]))
 
 
-def grid_position(value: str, grid: Sequence[float]) -> Column:
-    """How many values of the ascending `grid` are at or below the column: a binary search as
-    nested conditions, compiled with the rest of the row's code."""
+def count_at_most(value: str, edges: Sequence[str]) -> Column:
+    """How many of the ascending `edges` (SQL expressions) are at or below the column: a
+    binary search as nested conditions, compiled with the rest of the row's code."""
 
     def within(low: int, high: int) -> str:
         if low == high:
             return str(low)
         mid = (low + high) // 2
-        return f"if({value} >= {grid[mid]!r}D, {within(mid + 1, high)}, {within(low, mid)})"
+        return f"if({value} >= {edges[mid]}, {within(mid + 1, high)}, {within(low, mid)})"
 
-    return F.expr(within(0, len(grid)))
+    return F.expr(within(0, len(edges)))

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.functions.columns import grid_position, ratio
+from promolens.functions.columns import count_at_most, ratio
 from promolens.operators.layout import Limits
 from promolens.operators.ranking import at_cuts, score_counts
 
@@ -100,7 +100,7 @@ def profit_curve(
     # The fold number comes back as an aggregate: a filter on it then stays after the folding.
     folds = (
         score_counts(scored)
-        .withColumn("_fold", grid_position("score", grid))
+        .withColumn("_fold", count_at_most("score", [f"{t!r}D" for t in grid]))
         .groupBy("_fold")
         .agg(
             F.max("_fold").alias("reached"),

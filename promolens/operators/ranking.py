@@ -25,19 +25,20 @@ def score_counts(scored: DataFrame) -> DataFrame:
     )
 
 
-def score_totals(counts: DataFrame) -> Column:
-    """Struct of all rows and all positives, as a scalar subquery."""
-    return counts.agg(
-        F.struct(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-            F.coalesce(F.sum("pos"), F.lit(0)).alias("pos"),
-        )
-    ).scalar()
+def score_totals(counts: DataFrame, **more: Column) -> Column:
+    """Struct of all rows `n` and all positives `pos`, as a scalar subquery; `more` fields are
+    expressions of `n_total` and `pos_total`."""
+    sums = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_total"),
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("pos_total"),
+    )
+    fields = {"n": F.col("n_total"), "pos": F.col("pos_total"), **more}
+    return sums.select(F.struct(*[v.alias(k) for k, v in fields.items()])).scalar()
 
 
-def cumulative(scored: DataFrame, limits: Limits | None = None) -> DataFrame:
+def cumulative(scored: DataFrame, limits: Limits | None = None, **more: Column) -> DataFrame:
     """Per distinct score: n, pos, and both summed over this and all higher scores
-    (`cum_n`, `cum_pos`; `cum_score` sums the scores), with the totals in the struct `total`."""
+    (`cum_n`, `cum_pos`; `cum_score` sums the scores), with `score_totals` in `total`."""
     counts = score_counts(scored)
     keyed = counts.withColumn(ALL, F.lit(0))
     return (
@@ -51,7 +52,7 @@ def cumulative(scored: DataFrame, limits: Limits | None = None) -> DataFrame:
             Layout.of(keyed, [ALL], "score", limits, weight="n"),
         )
         .drop(ALL)
-        .withColumn("total", score_totals(counts))
+        .withColumn("total", score_totals(counts, **more))
     )
 
 
@@ -74,26 +75,28 @@ def at_cuts(
     """
     tie_value = F.col(tie) if tie else default_tie(scored)
     rows = scored.select("y", F.col("score").cast("double").alias("score"), tie_value.alias("_tie"))
-    table = cumulative(rows, limits).withColumns(
-        {"n_total": F.col("total.n"), "pos_total": F.col("total.pos")}
-    )
-    above = F.col("cum_n") - F.col("n")
+    # The cuts, computed once per query. The row at rank k has exactly one score: a score takes
+    # the cuts above the rows before it, up to and with its own last row.
     wanted_cuts = F.array(
-        *[F.struct(F.lit(label).alias("cut"), k.alias("k")) for label, k in cuts]
+        *[F.struct(k.alias("k"), F.lit(label).alias("cut")) for label, k in cuts]
     )
-    # The row at rank k has exactly one score.
-    here = F.filter(wanted_cuts, lambda c: (above < c["k"]) & (c["k"] <= F.col("cum_n")))
-    per_cut = table.select("*", F.inline(here)).select(
-        "cut",
-        "k",
-        "score",
-        "n_total",
-        "pos_total",
-        (F.col("cum_pos") - F.col("pos")).alias("pos_above"),
-        "pos",
-        (F.col("cum_score") - F.col("score") * F.col("n")).alias("score_above"),
-        (F.col("k") - above).alias("taken"),
-        F.when(F.col("k") < F.col("cum_n"), F.col("k") - above).alias("split_n"),
+    above = F.col("cum_n") - F.col("n")
+    here = F.filter("total.cuts", lambda c: (above < c["k"]) & (c["k"] <= F.col("cum_n")))
+    per_cut = (
+        cumulative(rows, limits, cuts=wanted_cuts)
+        .select("*", F.inline(here))
+        .select(
+            "cut",
+            "k",
+            "score",
+            F.col("total.n").alias("n_total"),
+            F.col("total.pos").alias("pos_total"),
+            (F.col("cum_pos") - F.col("pos")).alias("pos_above"),
+            "pos",
+            (F.col("cum_score") - F.col("score") * F.col("n")).alias("score_above"),
+            (F.col("k") - above).alias("taken"),
+            F.when(F.col("k") < F.col("cum_n"), F.col("k") - above).alias("split_n"),
+        )
     )
     # At most one row per cut: safe to broadcast.
     wanted = F.broadcast(

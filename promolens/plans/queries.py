@@ -308,7 +308,7 @@ def model_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def baseline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = modeling.split_last_event(_stored_abt(spark, sf_dir))
-    return modeling.baseline_scores(train, test).select(*features.KEYS, "target", "score")
+    return modeling.baseline_scores(train, test, features.KEYS).select(*features.KEYS, "target", "score")
 
 
 def permutation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
