@@ -45,11 +45,11 @@ TIMES = {
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded for comparison: engines differ in the last bits of a sum."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(f.name, digits).alias(f.name)
+            f"round(`{f.name}`, {digits}) as `{f.name}`"
             if isinstance(f.dataType, DoubleType) and f.name not in TIMES
-            else F.col(f.name)
+            else f"`{f.name}`"
             for f in df.schema
         ]
     )
