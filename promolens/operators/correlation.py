@@ -69,7 +69,9 @@ def correlation_matrix(
         name[F.col("a").cast("int")].alias("column_a"),
         name[F.col("b").cast("int")].alias("column_b"),
         n.cast("bigint").alias("n"),
-        F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)).alias("correlation"),
+        F.when(r.isNotNull(), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0))).alias(
+            "correlation"
+        ),
     )
 
 

@@ -182,8 +182,8 @@ def offer_static_query(c: Campaign) -> DataFrame:
     return base.select(*features.KEYS, "offer_reward_ratio", "offer_duration_bucket")
 
 
-def history_columns() -> list[str]:
-    return list(features.history_columns())
+def history_query(c: Campaign) -> DataFrame:
+    return c.abt.select(*features.KEYS, *features.history_columns())
 
 
 def correlation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -415,7 +415,7 @@ def queries() -> dict[str, Query]:
         # modelling table
         "offer_static_features": _campaign(offer_static_query),
         "channel_features": _campaign(channel_features_query),
-        "history_features": _features(*history_columns()),
+        "history_features": _campaign(history_query),
         "last_viewed_type": _features("last_viewed_offer_type"),
         "tenure": _features("customer_tenure_days"),
         "target": _features("offer_type", "target"),
