@@ -25,19 +25,19 @@ def flatten_events(transactions: DataFrame) -> DataFrame:
 
 
 def clean_profile(profile: DataFrame) -> DataFrame:
-    """Age sentinel to NULL, age band, gender code, registration date."""
-    out = profile
+    """Age sentinel to NULL, age band, gender code, registration date.
+
+    Cleaning a cleaned table changes nothing.
+    """
+    cleaned = {}
     if "age" in profile.columns:
         age = known_age(F.col("age"))
-        out = out.select(
-            *[age.alias("age") if c == "age" else F.col(c) for c in out.columns],
-            age_band(age).alias("age_group"),
-        )
+        cleaned |= {"age": age, "age_group": age_band(age)}
     if "gender" in profile.columns:
-        out = out.withColumn("gender", clean_gender(F.col("gender")))
+        cleaned["gender"] = clean_gender(F.col("gender"))
     if "registered_on" in profile.columns:
-        out = out.withColumn("registered_on_date", yyyymmdd(F.col("registered_on")))
-    return out
+        cleaned["registered_on_date"] = yyyymmdd(F.col("registered_on"))
+    return profile.withColumns(cleaned) if cleaned else profile
 
 
 def event_log(events: DataFrame, profile: DataFrame, offers: DataFrame) -> DataFrame:

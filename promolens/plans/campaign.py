@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from promolens.operators import eventlog, features, opportunities
 from promolens.operators.layout import Limits
-from promolens.sources import testdata
+from promolens.sources import read_table, testdata, write_tables
 
 
 class Campaign:
@@ -80,12 +80,24 @@ class Campaign:
             limits=self.limits,
         )
 
-    def tables(self) -> dict[str, DataFrame]:
-        """The five tables the pipeline hands on."""
-        return {
-            "offers_processed": self.offers,
-            "transactions_processed": self.events,
-            "profile_processed": self.profile,
-            "event_log": self.log,
-            "opportunities": self.opportunities_with_band(),
+    def store(self, path: str | None = None, suffix: str = "") -> Campaign:
+        """Write the five tables the analysis hands on to the catalog; returns the campaign that
+        reads them.
+
+        The inputs are parsed and cleaned once: the log and the opportunities are computed from
+        the stored tables, not from the raw files again.
+        """
+        spark = self.offers.sparkSession
+        first = {
+            f"offers_processed{suffix}": self.offers,
+            f"transactions_processed{suffix}": self.events,
+            f"profile_processed{suffix}": self.profile,
         }
+        write_tables(first, path)
+        offers, events, profile = (read_table(spark, name) for name in first)
+        stored = Campaign(offers, profile, events, self.limits.at_most)
+        write_tables({f"event_log{suffix}": stored.log}, path)
+        write_tables({f"opportunities{suffix}": stored.opportunities_with_band()}, path)
+        stored.log = read_table(spark, f"event_log{suffix}")
+        stored.opportunities = read_table(spark, f"opportunities{suffix}")
+        return stored

@@ -21,8 +21,7 @@ from promolens.operators import (
 )
 from promolens.operators.layout import Limits
 from promolens.plans.campaign import Campaign
-from promolens.sources import OFFER_SCHEMA, read_json, read_table, scratch_dir, testdata
-from promolens.sources import write_tables
+from promolens.sources import OFFER_SCHEMA, read_json, scratch_dir, testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,13 +109,19 @@ def scan_json_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the pipeline's tables to the catalog, read them back, count."""
-    tables = Campaign.of_testdata(spark, sf_dir).tables()
+    """Write the campaign's tables to the catalog, read them back, count."""
     base = scratch_dir(spark)
-    suffix = base[-8:]
-    names = {name: f"{name}_{suffix}" for name in tables}
-    write_tables({names[k]: df for k, df in tables.items()}, base)
-    return _counts({k: read_table(spark, names[k]) for k in tables}, "n")
+    stored = Campaign.of_testdata(spark, sf_dir).store(base, f"_{base[-8:]}")
+    return _counts(
+        {
+            "offers_processed": stored.offers,
+            "transactions_processed": stored.transactions,
+            "profile_processed": stored.profile_raw,
+            "event_log": stored.log,
+            "opportunities": stored.opportunities,
+        },
+        "n",
+    )
 
 
 def row_counts(c: Campaign) -> DataFrame:

@@ -176,6 +176,21 @@ def test_profile_cleaning(spark):
     assert rows[1]["registered_on_date"] is None
 
 
+def test_cleaning_twice_changes_nothing(spark):
+    raw = spark.createDataFrame([(118, None, " m ", "u", "20170601")], PROFILE_SCHEMA)
+    once = eventlog.clean_profile(raw)
+    again = eventlog.clean_profile(once)
+    assert again.columns == once.columns and again.collect() == once.collect()
+
+
+def test_feature_tables_are_assembled_by_key(spark):
+    keys = "customer_id string, offer_id string, time_received double"
+    base = spark.createDataFrame([("u", "A", 1.0), ("v", "A", 1.0)], keys)
+    extra = spark.createDataFrame([("u", "A", 1.0, 7)], keys + ", x int")
+    rows = features.assemble(base, extra).orderBy("customer_id").collect()
+    assert [r["x"] for r in rows] == [7, None]
+
+
 def test_flat_events_pass_through(spark):
     flat = spark.createDataFrame([("u", "transaction", 1.0)], "account_id string, event string, t double")
     assert eventlog.flatten_events(flat).columns == flat.columns
