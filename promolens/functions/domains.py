@@ -34,10 +34,13 @@ UNKNOWN = "Unknown"
 NO_HISTORY = "No history"
 
 
-def in_domain_order(df: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
-    """Sort by position in `domain`; values outside it come last, then by value."""
-    place = F.array_position(F.array(*[F.lit(v) for v in domain]), F.col(column))
-    return df.orderBy(F.when(place > 0, place).otherwise(len(domain) + 1), column)
+def in_domain_order(df: DataFrame, **domains: Sequence[str]) -> DataFrame:
+    """Sort by each column's position in its domain; values outside it come last, by value."""
+    order = []
+    for column, domain in domains.items():
+        place = F.array_position(F.array(*[F.lit(v) for v in domain]), F.col(column))
+        order += [F.when(place > 0, place).otherwise(len(domain) + 1), F.col(column)]
+    return df.orderBy(*order)
 
 
 def complete_domain(

@@ -29,7 +29,8 @@ def null_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, null_pct, severity): percent to one decimal; high above 20, medium above 5."""
+    """(column, null_pct, severity) by rising rate: percent to one decimal; severity is high
+    above 20 and medium above 5."""
     columns = list(df.columns if columns is None else columns)
     rate = F.round(100 * ratio(F.col("n_null"), F.col("total_rows")), 1)
     return (
@@ -40,6 +41,7 @@ def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
             rate.alias("null_pct"),
             F.when(rate > 20, "high").when(rate > 5, "medium").otherwise("low").alias("severity"),
         )
+        .orderBy("null_pct", "column")
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from promolens.functions.domains import AGE_BANDS, GENDERS
 from promolens.operators import (
     correlation,
     evaluation,
@@ -371,8 +372,8 @@ def queries() -> dict[str, Query]:
         # bivariate and multivariate
         "limit_by_age_box": _campaign(lambda c: s.limit_by_age_box(c.log, c.limits)),
         "age_limit_sample": _on("log", s.age_limit_sample),
-        "group_offer_rates": _on("opportunities", lambda o: s.group_offer_rates(o, "age_group")),
-        "gender_offer_rates": _on("opportunities", lambda o: s.group_offer_rates(o, "gender")),
+        "group_offer_rates": _on("opportunities", lambda o: s.group_offer_rates(o, "age_group", AGE_BANDS)),
+        "gender_offer_rates": _on("opportunities", lambda o: s.group_offer_rates(o, "gender", GENDERS)),
         "duration_rates": _on("opportunities", s.duration_rates),
         "funnel_by_offer_type": _on("opportunities", s.funnel_by_offer_type),
         "funnel_by_offer_type_long": _on("opportunities", s.funnel_by_offer_type_long),
@@ -383,8 +384,8 @@ def queries() -> dict[str, Query]:
         "channel_type_conversion": _on("opportunities", s.channel_conversion),
         # completion without a view
         "completed_without_view": _on("opportunities", s.completed_without_view),
-        "group_without_view": _on("opportunities", lambda o: s.group_without_view(o, "age_group")),
-        "gender_without_view": _on("opportunities", lambda o: s.group_without_view(o, "gender")),
+        "group_without_view": _on("opportunities", lambda o: s.group_without_view(o, "age_group", AGE_BANDS)),
+        "gender_without_view": _on("opportunities", lambda o: s.group_without_view(o, "gender", GENDERS)),
         "type_without_view": _on("opportunities", s.type_without_view),
         # spending
         "tx_value_summary": _on("events", s.tx_value_summary),

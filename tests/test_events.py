@@ -5,6 +5,7 @@ import datetime
 import pytest
 
 from promolens.functions.columns import DAY_US
+from promolens.functions.domains import AGE_BANDS, GENDERS
 from promolens.operators import eventlog, features, opportunities, quality, segments
 from promolens.operators.layout import Limits
 from promolens.sources import EVENT_SCHEMA, OFFER_SCHEMA, PROFILE_SCHEMA
@@ -244,3 +245,18 @@ def test_same_result_in_both_ansi_modes(spark, ansi):
         ).first()["completed_viewed"] is None
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_reports_follow_the_domain_order(spark):
+    profile = [("u", 70, "F", None), ("v", 20, "M", None), ("w", None, "M", None)]
+    events = [received(1, user=u) for u in "uvw"] + [received(2, "I", user="v")]
+    opps = opportunities.opportunities(log_of(spark, events, profile))
+    rows = segments.group_offer_rates(opps, "age_group", AGE_BANDS).collect()
+    assert [(r["age_group"], r["offer_type"]) for r in rows] == [
+        ("18-24", "bogo"),
+        ("18-24", "informational"),
+        ("65+", "bogo"),
+        ("Unknown", "bogo"),
+    ]
+    rows = segments.group_without_view(opps, "gender", GENDERS).collect()
+    assert [r["gender"] for r in rows] == ["F", "M"]
