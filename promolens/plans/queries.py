@@ -388,7 +388,8 @@ def queries() -> dict[str, Query]:
         "gender_without_view": _on("opportunities", lambda o: s.group_without_view(o, "gender", GENDERS)),
         "type_without_view": _on("opportunities", s.type_without_view),
         # spending
-        "tx_value_summary": _on("events", s.tx_value_summary),
+        "tx_value_summary": _campaign(lambda c: s.tx_value_summary(c.events, 0, c.limits)),
+        "tx_value_sketch": _on("events", s.tx_value_summary),
         "tx_log_histogram": _on("events", s.tx_log_histogram),
         "tx_value_box": _campaign(lambda c: s.tx_value_box(c.events, c.limits)),
         "sample_tx": _on("events", s.tx_sample),

@@ -260,3 +260,11 @@ def test_reports_follow_the_domain_order(spark):
     ]
     rows = segments.group_without_view(opps, "gender", GENDERS).collect()
     assert [r["gender"] for r in rows] == ["F", "M"]
+
+
+def test_purchases_by_offer_use(spark):
+    events = [paid(1, 5.0), paid(2, 7.0), paid(3, 0.0), completed(1, user="v"), paid(1, 2.0, "v")]
+    log = log_of(spark, events)
+    for rel_error in (0, 1e-4):
+        rows = segments.tx_value_summary(log, rel_error).collect()
+        assert [tuple(r) for r in rows] == [(0, 5.0, 6.0, 2), (1, 2.0, 2.0, 1)]
