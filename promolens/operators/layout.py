@@ -34,7 +34,7 @@ class Limits:
     input no larger than `min_rows` needs no cells; without a bound it is counted first.
     """
 
-    chunks: int = 4096
+    chunks: int = 16_384
     min_rows: int = 2_000_000
     at_most: int | None = None
 

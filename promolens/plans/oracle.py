@@ -684,10 +684,13 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {_abt_columns(whole)}, array_to_string(offer_channels, ',') AS offer_channels FROM abt",
     )
     q["abt_of_log"] = q["abt"]
-    q["abt_columns"] = " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, '{role}' AS role"
-        for role, names in (("numerical", NUMERIC), ("categorical", CATEGORICAL))
-        for c in names
+    q["abt_columns"] = _with(
+        "abt",
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, '{role}' AS role, count({c}) AS n_set FROM abt"
+            for role, names in (("numerical", NUMERIC), ("categorical", CATEGORICAL))
+            for c in names
+        ),
     )
     q["abt_grain"] = _with(
         "abt",

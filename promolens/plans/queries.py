@@ -167,14 +167,17 @@ def abt_of_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_text_channels(abt, "offer_channels"))
 
 
-def abt_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature columns and their roles, from the schema of the table."""
-    numerical, categorical = features.column_roles(Campaign.of_testdata(spark, sf_dir).abt)
-    roles = [("numerical", c) for c in numerical] + [("categorical", c) for c in categorical]
-    rows = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), F.lit(r).alias("role")) for r, c in roles]
+def abt_columns(c: Campaign) -> DataFrame:
+    """Feature columns, their roles, and how many rows have them set."""
+    abt = c.abt
+    numerical, categorical = features.column_roles(abt)
+    names = numerical + categorical
+    role = F.when(F.col("column_name").isin(categorical), "categorical").otherwise("numerical")
+    return (
+        abt.agg(*[F.count(n).alias(n) for n in names])
+        .unpivot([], names, "column_name", "n_set")
+        .withColumn("role", role)
     )
-    return spark.range(1).select(F.inline(rows))
 
 
 def channel_features_query(c: Campaign) -> DataFrame:
@@ -428,7 +431,7 @@ def queries() -> dict[str, Query]:
         "target": _features("offer_type", "target"),
         "abt": abt_query,
         "abt_of_log": abt_of_log,
-        "abt_columns": abt_columns,
+        "abt_columns": _campaign(abt_columns),
         "abt_grain": _on("abt", lambda df: quality.key_check(df, features.KEYS)),
         "class_balance": _on("abt", lambda df: quality.distinct_counts(df, "target")),
         "correlation_matrix": correlation_query,
