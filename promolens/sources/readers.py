@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Line-mode JSON scan; malformed records become NULL rows (PERMISSIVE), no inference job.
 
@@ -23,16 +21,18 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder that driver and executors share, removed when the application ends.
 
-    Only where the session names no such folder (local tests) does it fall back to the
-    driver's own temporary folder.
+    It lies below `spark.checkpoint.dir`, or below the warehouse where the session names none.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    leaf = f"promolens-{uuid.uuid4().hex}"
-    if shared:
-        return f"{shared.rstrip('/')}/{leaf}"
-    return tempfile.mkdtemp(prefix="promolens-") + "/" + leaf
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    name = uuid.uuid4().hex
+    folder = f"{shared.rstrip('/')}/promolens-{name}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/{name}"
 
 
 def write_tables(tables: Mapping[str, DataFrame], path: str | None = None) -> None:

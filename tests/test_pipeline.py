@@ -45,16 +45,12 @@ def test_stored_tables_give_the_same_table(raw, spark):
     assert compare.spark_result(stored.abt) == compare.spark_result(raw.abt)
 
 
-def test_scratch_folder_is_the_shared_one():
-    class Conf:
-        def get(self, name, default=None):
-            return {"spark.checkpoint.dir": "hdfs://shared/folder/"}.get(name, default)
-
-    class Session:
-        conf = Conf()
-
-    first, second = scratch_dir(Session()), scratch_dir(Session())
-    assert first.startswith("hdfs://shared/folder/promolens-") and first != second
+def test_scratch_folder_is_the_shared_one(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
+    first, second = scratch_dir(spark), scratch_dir(spark)
+    assert first.startswith(f"{shared}/promolens-") and first != second
 
 
 def test_splits(spark):
