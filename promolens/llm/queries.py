@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm import bpe, packing, token_files
+from promolens.llm import bpe, langid, packing, token_files, toxicity
 from promolens.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,13 +24,34 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def held_out() -> Column:
+    """Documents no model of these queries learns from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~held_out()))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = token_files.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
     return read.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.where(~held_out()))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_packing, op8_token_files)}
+    return {f.__name__: f for f in (op1_bpe, op2_packing, op4_language_id, op8_token_files, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
