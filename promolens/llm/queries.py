@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm import bpe, langid, packing, token_files, toxicity
+from promolens.llm import bpe, fingerprints, langid, packing, token_files, toxicity
 from promolens.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,6 +36,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = token_files.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
     return read.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -51,7 +55,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_packing, op4_language_id, op8_token_files, op10_toxicity)}
+    return {f.__name__: f for f in (op1_bpe, op2_packing, op4_language_id, op6_fingerprints, op8_token_files, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
