@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm import bpe, fingerprints, langid, packing, token_files, toxicity
+from promolens.llm import (
+    bpe,
+    fingerprints,
+    langid,
+    packing,
+    sharding,
+    token_files,
+    toxicity,
+    vectors,
+)
 from promolens.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +33,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def held_out() -> Column:
     """Documents no model of these queries learns from."""
     return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
@@ -36,6 +49,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
 
@@ -54,9 +71,41 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+REGISTERED = (
+    op1_bpe,
+    op2_packing,
+    op3_sharding,
+    op4_language_id,
+    op5_top_k,
+    op6_fingerprints,
+    op8_token_files,
+    op10_toxicity,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_packing, op4_language_id, op6_fingerprints, op8_token_files, op10_toxicity)}
+    return {f.__name__: f for f in REGISTERED}
+
+
+OP5 = """
+WITH good AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), vectors AS (
+  SELECT vec_id, min(v) AS v FROM good GROUP BY vec_id
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
+FROM pairs
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 20
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_top_k": OP5}
