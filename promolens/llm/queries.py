@@ -12,6 +12,7 @@ from promolens.llm import (
     bpe,
     fingerprints,
     langid,
+    neardup,
     packing,
     sharding,
     token_files,
@@ -62,6 +63,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     model = toxicity.fit(docs, labels.where(~held_out()))
@@ -79,6 +84,7 @@ REGISTERED = (
     op5_top_k,
     op6_fingerprints,
     op8_token_files,
+    op9_near_duplicates,
     op10_toxicity,
 )
 
