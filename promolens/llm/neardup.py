@@ -251,3 +251,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` that near_duplicates keeps: one document of each group.
+
+    Only the ids of dropped documents meet the texts. Rows without doc_id all stay, and so do all
+    rows of a kept doc_id.
+    """
+    dropped = near_duplicates(docs.select("doc_id", "text")).where("not kept").select("doc_id")
+    return docs.join(dropped.distinct(), "doc_id", "left_anti")

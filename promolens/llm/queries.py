@@ -17,6 +17,7 @@ from promolens.llm import (
     sharding,
     token_files,
     toxicity,
+    urls,
     vectors,
 )
 from promolens.llm.common import table
@@ -58,6 +59,20 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
 
 
+#: The rules of the query.
+RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
+
+
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = token_files.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
     return read.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -83,6 +98,7 @@ REGISTERED = (
     op4_language_id,
     op5_top_k,
     op6_fingerprints,
+    op7_urls,
     op8_token_files,
     op9_near_duplicates,
     op10_toxicity,
