@@ -7,12 +7,11 @@ from promolens.functions.columns import (
     to_micros,
     yyyymmdd,
 )
-from promolens.functions.domains import AGE_BANDS, CHANNELS, EVENTS, GENDERS, OFFER_TYPES
+from promolens.functions.domains import AGE_BANDS, CHANNELS, GENDERS, OFFER_TYPES
 
 __all__ = [
     "AGE_BANDS",
     "CHANNELS",
-    "EVENTS",
     "GENDERS",
     "OFFER_TYPES",
     "age_band",

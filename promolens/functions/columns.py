@@ -84,3 +84,9 @@ def count_at_most(value: str, edges: Sequence[str]) -> Column:
         return f"if({value} >= {edges[mid]}, {within(mid + 1, high)}, {within(low, mid)})"
 
     return F.expr(within(0, len(edges)))
+
+
+def dice(*keys: Column | str, seed: int = 42, sides: int = 1_000_000) -> Column:
+    """A number below `sides` drawn from the keys alone: a recomputed task draws it again."""
+    text = F.concat_ws(":", *[F.coalesce(F.col(k) if isinstance(k, str) else k, F.lit("")) for k in keys], F.lit(str(seed)))
+    return F.pmod(F.conv(F.left(F.md5(text), F.lit(8)), 16, 10).cast("bigint"), F.lit(sides))

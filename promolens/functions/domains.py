@@ -12,7 +12,6 @@ RECEIVED = "offer received"
 VIEWED = "offer viewed"
 COMPLETED = "offer completed"
 PURCHASE = "transaction"
-EVENTS = [PURCHASE, RECEIVED, VIEWED, COMPLETED]
 
 # Category domains in presentation order.
 OFFER_TYPES = ["bogo", "discount", "informational"]

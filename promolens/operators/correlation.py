@@ -20,7 +20,8 @@ def correlation_matrix(
 
     Each pair uses the rows where both values are set; a pair with a constant side is NULL.
     Tasks fold their rows into the pairs' moments with matrix products, so that what is
-    shuffled is one small matrix per task, not a row per pair.
+    shuffled is one small matrix per task, not a row per pair. Values are centred at their
+    column's mean first, so that a large mean does not drown the spread.
     """
     names = [c for c in columns if c in df.columns]
     if target and target in df.columns and target not in names:
@@ -49,16 +50,21 @@ def correlation_matrix(
         )
 
     schema = "a bigint, b bigint, n double, sx double, sy double, sxx double, syy double, sxy double"
+    doubles = {c: F.col(c).cast("double") for c in names}
+    values = df.select(*[F.when(~F.isnan(x), x).alias(c) for c, x in doubles.items()])
+    means = values.agg(*[F.avg(c).alias(f"_mean_{k}") for k, c in enumerate(names)])
+    centred = values.join(F.broadcast(means)).select(  # one row
+        *[(F.col(c) - F.col(f"_mean_{k}")).alias(c) for k, c in enumerate(names)]
+    )
     sums = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in names])
-        .mapInArrow(moments, schema)
+        centred.mapInArrow(moments, schema)
         .groupBy("a", "b")
         .agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     )
     n = F.col("n")
 
     def spread(square: str, total: str):
-        # Rounding leaves a constant column a spread of this size at most.
+        # Rounding leaves a column that is constant in the pair a spread of this size at most.
         var = n * F.col(square) - F.col(total) * F.col(total)
         return F.when(var > 1e-13 * n * F.col(square), F.sqrt(var))
 
@@ -79,10 +85,10 @@ def feature_box_by_target(
     df: DataFrame,
     columns: Sequence[str],
     target: str = "target",
-    top_n: int = 12,
+    top_n: int | None = None,
     limits: Limits | None = None,
 ) -> DataFrame:
-    """Box statistics of the first `top_n` features, per target value, over all rows."""
+    """Box statistics of all features (or the first `top_n`) per target value, over all rows."""
     names = [c for c in columns if c in df.columns][:top_n]
     if not names:
         raise ValueError("no valid numerical columns")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.functions.columns import ratio
@@ -259,23 +259,19 @@ def decile_table(
     size = F.greatest(F.floor(n / 10), F.lit(1))
     cuts = [(d, F.least(size * d, n).cast("bigint")) for d in range(1, 10)]
     ends = at_cuts(scored, [*cuts, (10, n)], tie, limits)
-    # Ten rows: each end is joined to the one before it.
-    starts = ends.select(
-        (F.col("cut") + 1).alias("cut"),
-        F.col("k").alias("_k"),
-        F.col("positives").alias("_positives"),
-        F.col("score_sum").alias("_score_sum"),
-    )
+    before = Window.orderBy("cut")  # ten rows
 
     def step(name: str) -> Column:
         return F.col(name) - F.coalesce(F.col(f"_{name}"), F.lit(0))
 
+    ends = ends.withColumns(
+        {f"_{c}": F.lag(c).over(before) for c in ("k", "positives", "score_sum")}
+    )
     rows, found = step("k"), step("positives")
     rate = ratio(found, rows)
     base_rate = ratio(F.col("pos_total"), n)
     return (
-        ends.join(starts, "cut", "left")
-        .where(rows > 0)
+        ends.where(rows > 0)
         .select(
             F.col("cut").alias("decile"),
             rows.alias("n"),

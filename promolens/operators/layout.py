@@ -4,8 +4,8 @@ A scan over time (or over a score) needs all rows of a key in order. A key with
 share of all rows would put that share into one task, so such a key is cut along the order
 column into cells, and `scan.ordered_scan` carries totals from cell to cell.
 
-Everything here is decided from exact counts, over all rows or over those a hash picks, so a
-recomputed task places a row in the same cell again. What is broadcast is bounded by counting,
+Hot keys are decided from counts, over all rows or over those a hash picks, and cut by rank; the
+cuts are stored, so a recomputed task places a row in the same cell again. What is broadcast is bounded by counting,
 whatever the data: a key is hot only above `1/chunks` of the counted rows, so there are fewer
 than `chunks` hot keys, and heavy stretches are bounded in the same way. The layout decides
 which task does what, never which rows count: the scan itself sees all of them.
@@ -19,11 +19,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from promolens.sources import scratch_dir
+
 CELL = "_cell"
 # A hot key is found by this many of its rows; large inputs need not count them all.
 WITNESSES = 10_000
 # Position of a cell = stretch number * STEP + part within the stretch.
 STEP = 1 << 24
+# A hot key is cut by rank into so many stretches, and a stretch that stays large into as many.
+PARTS = 128
 
 
 @dataclass(frozen=True)
@@ -81,25 +85,24 @@ class Layout:
             # Keeps the count's own shuffle a fraction of the scan's.
             placed = placed.where(F.pmod(F.xxhash64(*keys, "_x"), F.lit(one_in)) == 0)
             chunk //= one_in
-        hot = (
-            placed.groupBy(*keys)
-            .agg(n_rows.alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-            .where(F.col("_n") > chunk)
-            .withColumn("_stretches", 4 * F.ceil(F.col("_n") / F.lit(chunk)))
-            .select(
-                *keys,
-                "_lo",
-                "_stretches",
-                ((F.col("_hi") - F.col("_lo")) / F.col("_stretches")).alias("_width"),
-            )
+        real = placed.where(~F.isnan("_x"))
+        many = real.groupBy(*keys).agg(n_rows.alias("_n")).where(F.col("_n") > chunk)
+        hot = _pinned(
+            real.join(F.broadcast(many.select(*keys)), list(keys))
+            .groupBy(*keys)
+            .agg(_edges("_x").alias("_edges"))
+        )
+        # A stretch above a chunk is cut once more by its own ranks.
+        stretch = _below(F.col("_edges"), F.col("_x")).alias("_stretch")
+        inside = real.join(F.broadcast(hot), list(keys)).select(
+            *keys, stretch, "_x", *([weight] if weight else [])
         )
-        # A burst may fill one stretch: stretches above a chunk are cut once more.
-        heavy = (
-            placed.join(F.broadcast(hot), list(keys))
-            .groupBy(*keys, _stretch(F.col("_x")).alias("_stretch"))
-            .agg(n_rows.alias("_n"))
-            .where(F.col("_n") > chunk)
-            .select(*keys, "_stretch", F.ceil(F.col("_n") / F.lit(chunk)).alias("_parts"))
+        part = [*keys, "_stretch"]
+        many = inside.groupBy(*part).agg(n_rows.alias("_n")).where(F.col("_n") > chunk)
+        heavy = _pinned(
+            inside.join(F.broadcast(many.select(*part)), part)
+            .groupBy(*part)
+            .agg(_edges("_x").alias("_cuts"))
         )
         return Layout(keys, order, hot, heavy)
 
@@ -114,33 +117,16 @@ class Layout:
         """
         x = F.col(self.order).cast("double")
         columns = [F.col(c) for c in rows.columns]
-        part = F.greatest(
-            F.least(
-                F.floor(
-                    F.coalesce(
-                        F.try_divide(
-                            (x - F.col("_lo") - F.col("_stretch") * F.col("_width"))
-                            * F.col("_parts"),
-                            F.col("_width"),
-                        ),
-                        F.lit(0.0),
-                    )
-                ),
-                F.col("_parts") - 1,
-            ),
-            F.lit(0),
-        )
+        part = F.coalesce(_below(F.col("_cuts"), x), F.lit(0))
         spread = -1 - F.pmod(F.xxhash64(self.order, *self.keys), F.lit(1024))
         cell = (
             F.when(~_all_set([*self.keys, self.order]), spread)
-            .when(F.col("_lo").isNull(), F.lit(0))
-            .otherwise(
-                1 + F.col("_stretch") * F.lit(STEP) + F.coalesce(part.cast("bigint"), F.lit(0))
-            )
+            .when(F.col("_edges").isNull(), F.lit(0))
+            .otherwise(1 + F.col("_stretch") * F.lit(STEP) + part)
         )
         return (
             rows.join(F.broadcast(self.hot), list(self.keys), "inner" if hot_only else "left")
-            .withColumn("_stretch", _stretch(x))
+            .withColumn("_stretch", _below(F.col("_edges"), x))
             .join(F.broadcast(self.heavy), [*self.keys, "_stretch"], "left")
             .select(*columns, cell.cast("bigint").alias(CELL))
         )
@@ -153,7 +139,21 @@ def _all_set(names: Sequence[str]) -> Column:
     return out
 
 
-def _stretch(x: Column) -> Column:
-    step = F.coalesce(F.try_divide(x - F.col("_lo"), F.col("_width")), F.lit(0.0))
-    last = F.col("_stretches") - 1
-    return F.least(F.greatest(F.floor(F.greatest(step, F.lit(0.0))), F.lit(0)), last)
+def _edges(x: str) -> Column:
+    """Values that cut a group's rows into parts of near-equal count, from a mergeable sketch."""
+    return F.percentile_approx(x, [k / PARTS for k in range(1, PARTS)], 10_000)
+
+
+def _pinned(df: DataFrame) -> DataFrame:
+    """A sketch may differ a little when it is computed again; stored, every use sees the same."""
+    path = scratch_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _below(edges: Column, x: Column) -> Column:
+    """How many edges lie below x: rises with x, and is the same for equal values. NaN, the
+    largest value, has a place of its own."""
+    return F.when(F.isnan(x), F.size(edges).cast("bigint") + 1).otherwise(
+        F.size(F.filter(edges, lambda e: e < x)).cast("bigint")
+    )

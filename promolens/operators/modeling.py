@@ -16,7 +16,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.functions.columns import ratio
+from promolens.functions.columns import dice, ratio
 from promolens.operators.evaluation import evaluation_report, model_quality
 from promolens.operators.layout import Layout, Limits
 from promolens.operators.policy import best_threshold
@@ -54,7 +54,7 @@ def with_split(
 
 
 def _customer_hash(id_col: str, seed: int, n: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(n)).cast("int")
+    return dice(id_col, seed=seed, sides=n).cast("int")
 
 
 def split_last_event(
@@ -311,8 +311,8 @@ def baseline_scores(
     The draw is a hash of the row's key, so that a recomputed task draws the same.
     """
     base_rate = train.agg(ratio(F.sum("target"), F.count(F.lit(1)))).scalar()
-    dice = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1_000_000)) / F.lit(1e6)
-    return test.withColumn("score", F.when(dice < base_rate, 1.0).otherwise(0.0))
+    draw = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1_000_000)) / F.lit(1e6)
+    return test.withColumn("score", F.when(draw < base_rate, 1.0).otherwise(0.0))
 
 
 # -- attribution -----------------------------------------------------------------------------
@@ -323,11 +323,12 @@ def permutation_importance(
     df: DataFrame,
     keys: Sequence[str],
     target: str = "target",
-    top_n: int = 20,
+    top_n: int | None = None,
     seed: int = 42,
     limits: Limits | None = None,
 ) -> DataFrame:
-    """(feature, gain, base_pr_auc, permuted_pr_auc, importance) of the `top_n` features by gain.
+    """(feature, gain, base_pr_auc, permuted_pr_auc, importance) of all features, or the
+    `top_n` of largest gain.
 
     A column is permuted by giving each row the value of another one: rows are ranked by two
     hashes of their key, and equal ranks exchange values. `df` should be a stored table.

@@ -20,11 +20,11 @@ offers AS MATERIALIZED (
     CAST(3 + p_size % 8 AS DOUBLE) AS duration,
     CAST(CASE WHEN p_partkey % 3 = 2 THEN 0 ELSE 2 + p_partkey % 9 END AS BIGINT)
       AS discount_value,
-    CASE WHEN p_partkey <> 9 THEN list_filter(['email',
+    CASE WHEN p_partkey % 10 <> 9 THEN list_filter(['email',
       CASE WHEN p_partkey % 2 = 0 THEN 'web' END,
       CASE WHEN p_partkey % 3 <> 0 THEN 'mobile' END,
       CASE WHEN p_partkey % 5 < 3 THEN 'social' END], lambda x: x IS NOT NULL) END AS channels
-  FROM part WHERE p_partkey < 10)"""
+  FROM part)"""
 
 PROFILE = """
 profile AS MATERIALIZED (
@@ -52,14 +52,15 @@ EVENTS = """
 flat AS MATERIALIZED (
   SELECT CAST(user_id AS VARCHAR) AS account_id,
     CASE event_type WHEN 'signup' THEN 'offer received' WHEN 'view' THEN 'offer viewed'
-      WHEN 'click' THEN 'offer completed' WHEN 'purchase' THEN 'transaction' END AS event,
+      WHEN 'click' THEN 'offer completed' WHEN 'purchase' THEN 'transaction'
+      ELSE event_type END AS event,
     date_diff('microsecond', TIMESTAMP '2024-01-01', ts) AS t_us,
-    CASE WHEN event_type IN ('signup', 'view', 'click') THEN CAST(k % 10 AS VARCHAR) END
+    CASE WHEN event_type IN ('signup', 'view', 'click') THEN
+      CAST((user_id * 10 + k % 10) % (SELECT count(*) FROM part) AS VARCHAR) END
       AS offer_id,
     CASE WHEN event_type = 'purchase' THEN value END AS amount,
     CASE WHEN event_type = 'click' THEN CAST(2 + k % 9 AS DOUBLE) END AS reward
-  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
-  WHERE event_type <> 'error')"""
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events))"""
 
 LOG = f"""
 log AS MATERIALIZED (
@@ -227,6 +228,11 @@ def _r(expression: str, name: str, digits: int = 6) -> str:
     return f"round(CAST({expression} AS DOUBLE), {digits}) AS {name}"
 
 
+def _dice(key: str, seed: int, sides: int) -> str:
+    digits = f"left(md5(concat({key}, ':{seed}')), 8)"
+    return f"CAST(concat('0x', {digits}) AS BIGINT) % {sides}"
+
+
 def _abt_columns(names: list[str]) -> str:
     text = {*CATEGORICAL, "customer_id", "offer_id", "target", "time_received", "time_expires",
             *_WHOLE}
@@ -371,6 +377,31 @@ def _correlations() -> str:
     WHERE a.v IS NOT NULL AND b.v IS NOT NULL GROUP BY 1, 2"""
 
 
+def _shifted_correlation() -> str:
+    values = {
+        "seconds": "1.7e9 + o_orderkey % 100",
+        "micros": "1.7e15 + (o_orderkey * 7) % 1000",
+        "plain": "o_orderkey % 100",
+        "same": "42.1",
+        "gaps": "CASE WHEN o_orderkey % 3 <> 0 THEN (o_orderkey * 31) % 97 END",
+    }
+    names = list(values)
+    columns = ", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in values.items())
+    pairs = " UNION ALL ".join(
+        f"SELECT '{a}' AS column_a, '{b}' AS column_b, count({a} + {b}) AS n, "
+        + (
+            "CAST(NULL AS DOUBLE) AS correlation"
+            if "same" in (a, b)
+            else _r(f"corr({b} - m_{b}, {a} - m_{a})", "correlation")
+        )
+        + " FROM v, m"
+        for i, a in enumerate(names)
+        for b in names[i:]
+    )
+    means = ", ".join(f"avg({c}) AS m_{c}" for c in names)
+    return f"WITH v AS (SELECT {columns} FROM orders), m AS (SELECT {means} FROM v) {pairs}"
+
+
 def oracle_sql() -> dict[str, str]:
     ordered_bins = ", ".join(f"'{b}'" for b in RECENCY_BINS)
     q: dict[str, str] = {}
@@ -706,10 +737,10 @@ def oracle_sql() -> dict[str, str]:
         f"""SELECT target, count(*) AS count, {_r("count(*) / (SELECT count(*) FROM abt)", "pct", 4)}
     FROM abt GROUP BY 1""",
     )
+    q["shifted_correlation"] = _shifted_correlation()
     q["correlation_matrix"] = _with("abt", _correlations())
-    first12 = NUMERIC[:12]
     melted = "(" + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, target, CAST({c} AS DOUBLE) AS value FROM abt" for c in first12
+        f"SELECT '{c}' AS feature, target, CAST({c} AS DOUBLE) AS value FROM abt" for c in NUMERIC
     ) + ")"
     q["feature_box_by_target"] = _with("abt", _box(melted, "value", "feature, target"))
     last = "max(time_received) OVER (PARTITION BY customer_id)"
@@ -867,4 +898,31 @@ def oracle_sql() -> dict[str, str]:
       {_r("(m - b) / abs(b) * 100", "uplift_pct")}, targeted_n, total_n - targeted_n AS excluded_n,
       {_r("(total_n - targeted_n) * 1.0", "cost_saved")} FROM u""",
     )
+    # draws
+    q["split_calibration"] = _with(
+        "abt",
+        f"""{split} SELECT {_dice("customer_id", 42, 10_000)} < 2000 AS calibration, count(*) AS n,
+      count(DISTINCT customer_id) AS n_customers FROM s WHERE time_received < max_time GROUP BY 1""",
+    )
+    q["cv_folds"] = _with(
+        "abt",
+        f"""SELECT CAST({_dice("customer_id", 43, 5)} AS INTEGER) AS fold, count(*) AS n,
+      count(DISTINCT customer_id) AS n_customers FROM abt GROUP BY 1""",
+    )
+    q["age_limit_sample"] = _with(
+        "log",
+        _CUSTOMERS
+        + f"""SELECT user_id, age, {_r("credit_card_limit", "credit_card_limit")} FROM customers
+    WHERE age IS NOT NULL AND credit_card_limit IS NOT NULL
+      AND {_dice("user_id", 42, 1_000_000)} < 80000""",
+    )
+    cents = "concat(user_id, ':', CAST(CAST(round(amount * 100) AS BIGINT) AS VARCHAR))"
+    q["sample_tx"] = _with(
+        "log",
+        _TX + f"""SELECT user_id, {_r("amount", "amount")}, uses_offers, user_type FROM tx
+    WHERE {_dice(cents, 42, 1_000_000)} < 300000""",
+    )
+    # the same answers with hot keys cut into cells
+    for name in ("opportunities", "abt", "tx_value_box", "gains_lift_rows", "decile_table"):
+        q[f"{name}_cells"] = q[name]
     return q

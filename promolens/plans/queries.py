@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,6 +148,41 @@ def opportunities_of_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_text_channels(opportunities.opportunities(c.log, c.limits)))
 
 
+#: Limits under which the busier keys of the test tables are cut into cells.
+CELLS = Limits(chunks=400, min_rows=20)
+
+
+def _in_cells(spark: SparkSession, sf_dir: str) -> Campaign:
+    c = Campaign.of_testdata(spark, sf_dir)
+    c.limits = CELLS
+    return c
+
+
+def opportunities_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_text_channels(_in_cells(spark, sf_dir).opportunities))
+
+
+def abt_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_text_channels(_in_cells(spark, sf_dir).abt, "offer_channels"))
+
+
+def tx_value_box_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _in_cells(spark, sf_dir)
+    return rounded(segments.tx_value_box(c.events, c.limits))
+
+
+def shifted_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns whose mean dwarfs their spread, one constant and one with gaps."""
+    orders = testdata.table(spark, sf_dir, "orders").selectExpr(
+        "1.7e9 + o_orderkey % 100 as seconds",
+        "1.7e15 + (o_orderkey * 7) % 1000 as micros",
+        "cast(o_orderkey % 100 as double) as plain",
+        "cast(42.1 as double) as same",
+        "if(o_orderkey % 3 = 0, null, cast((o_orderkey * 31) % 97 as double)) as gaps",
+    )
+    return rounded(correlation.correlation_matrix(orders, orders.columns, None))
+
+
 def limit_band(c: Campaign) -> DataFrame:
     return c.opportunities_with_band(rel_error=0).groupBy("limit_band").agg(
         F.count(F.lit(1)).alias("n"), F.sum("completed").alias("n_completed")
@@ -217,9 +251,8 @@ def avg_value_query(c: Campaign) -> DataFrame:
 # -- models ----------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=4)
 def _stored_abt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The modelling table, written once to the shared folder: training reads it many times."""
+    """The modelling table, written to the shared folder: training reads it many times."""
     path = scratch_dir(spark)
     abt = Campaign.of_testdata(spark, sf_dir).abt
     abt.write.parquet(path)
@@ -233,7 +266,6 @@ def _trainer(spark: SparkSession, sf_dir: str, **options) -> modeling.Propensity
     return modeling.PropensityTrainer(abt, numerical, categorical, limits=limits, **options)
 
 
-@lru_cache(maxsize=4)
 def _fitted(spark: SparkSession, sf_dir: str) -> tuple[modeling.PropensityTrainer, DataFrame]:
     trainer = _trainer(spark, sf_dir)
     _, test = trainer.train(maxIter=10, maxDepth=4, stepSize=0.1, minInstancesPerNode=10)
@@ -300,7 +332,7 @@ def isotonic_calibrate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_abt(spark: SparkSession, sf_dir: str) -> DataFrame:
     trainer, _ = _fitted(spark, sf_dir)
-    scored = trainer.model.predict(_stored_abt(spark, sf_dir), 0.5)
+    scored = trainer.model.predict(trainer.df, 0.5)
     return scored.select(*features.KEYS, "target", "score", "prediction")
 
 
@@ -323,7 +355,7 @@ def baseline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def permutation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     trainer, test = _fitted(spark, sf_dir)
     return modeling.permutation_importance(
-        trainer.model, test, features.KEYS, top_n=20, limits=trainer.limits
+        trainer.model, test, features.KEYS, limits=trainer.limits
     )
 
 
@@ -345,6 +377,7 @@ def queries() -> dict[str, Query]:
         ),
         "opportunities": opportunities_query,
         "opportunities_of_log": opportunities_of_log,
+        "opportunities_cells": opportunities_cells,
         "limit_band": _campaign(limit_band),
         # data quality
         "null_summary": _on(
@@ -395,6 +428,7 @@ def queries() -> dict[str, Query]:
         "tx_value_sketch": _on("events", s.tx_value_summary),
         "tx_log_histogram": _on("events", s.tx_log_histogram),
         "tx_value_box": _campaign(lambda c: s.tx_value_box(c.events, c.limits)),
+        "tx_value_box_cells": tx_value_box_cells,
         "sample_tx": _on("events", s.tx_sample),
         # time
         "conversion_over_time": _on("opportunities", s.conversion_over_time),
@@ -431,10 +465,12 @@ def queries() -> dict[str, Query]:
         "target": _features("offer_type", "target"),
         "abt": abt_query,
         "abt_of_log": abt_of_log,
+        "abt_cells": abt_cells,
         "abt_columns": _campaign(abt_columns),
         "abt_grain": _on("abt", lambda df: quality.key_check(df, features.KEYS)),
         "class_balance": _on("abt", lambda df: quality.distinct_counts(df, "target")),
         "correlation_matrix": correlation_query,
+        "shifted_correlation": shifted_correlation,
         "feature_box_by_target": _campaign(feature_box_query),
         "avg_conversion_value": _campaign(avg_value_query),
         "split_last_event": _campaign(split_query),
@@ -467,6 +503,8 @@ def queries() -> dict[str, Query]:
         "gains_lift": _scored(lambda df, n: e.gains_lift(df, 100, "key", n)),
         "gains_lift_rows": _scored(lambda df, n: e.gains_lift(df, None, "key", n)),
         "decile_table": _scored(lambda df, n: e.decile_table(df, "key", n)),
+        "gains_lift_rows_cells": _scored(lambda df, n: e.gains_lift(df, None, "key", CELLS)),
+        "decile_table_cells": _scored(lambda df, n: e.decile_table(df, "key", CELLS)),
         "eval_summary": _scored(lambda df, n: e.eval_summary(df, 0.5, n)),
         # policies
         "top_k_budget": _scored(

@@ -30,7 +30,6 @@ def test_scan_reads_only_what_it_needs(spark, sf_dir):
     df = Campaign.of_testdata(spark, sf_dir).events.select("account_id", "event")
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan(df)).group(1)
     assert schema == "user_id:bigint,event_type:string"
-    assert "PushedFilters: [IsNotNull(event_type), Not(EqualTo(event_type,error))]" in plan(df)
 
 
 def test_shuffles_of_the_modelling_table(spark, sf_dir):

@@ -82,6 +82,19 @@ def test_cells_rise_with_the_order_column(spark):
     assert all(a[1] <= b[1] for a, b in zip(pairs, pairs[1:]))
 
 
+@pytest.mark.parametrize("spread", ["t", "if(t = 0, 1e15, t)", "exp(t % 997 / 60.0)", "if(t % 9 = 0, double('nan'), t)"])
+def test_no_cell_is_large_unless_one_value_is(spark, spread):
+    df = spark.range(30_000).selectExpr("'hot' as k", "id as t", "1 as v")
+    df = df.selectExpr("k", f"cast({spread} as double) as t", "v")
+    layout = Layout.of(df, ["k"], "t", Limits(chunks=100, min_rows=1))
+    cells = layout.assign(df).groupBy(CELL).agg(F.count("*").alias("n"), F.countDistinct("t").alias("d"))
+    assert cells.where("n > 600 and d > 1").count() == 0
+    running = [Running("n", "sum", F.col("v"), UPTO)]
+    found = ordered_scan(df, running, layout).groupBy("t").agg(F.max("n").alias("n"))
+    plain = ordered_scan(df, running, Layout(("k",), "t")).groupBy("t").agg(F.max("n").alias("n"))
+    assert found.exceptAll(plain).count() == plain.exceptAll(found).count() == 0
+
+
 def test_broadcasts_are_bounded(spark):
     df = spark.createDataFrame(
         [(f"k{i % 50}", i) for i in range(5000)], "k string, t bigint"
