@@ -5,14 +5,15 @@ from __future__ import annotations
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ from promolens.operators.scan import FROM, UPTO, Running, ordered_scan
 # A tree splits the sentinel off by itself; the flag keeps "missing" visible next to it.
 MISSING = -1.0
 FOLDS = 5
+UNCHECKED_TREES = 50  # beyond so many trees a checkpoint folder is needed
 
 # Search ranges (low, high); whole numbers are drawn as integers.
 SEARCH_SPACE: dict[str, tuple[float, float]] = {
@@ -150,11 +152,16 @@ def draw_params(
 
 
 def isotonic(calibration: DataFrame, target: str = "target") -> IsotonicRegressionModel:
-    """Fit on (`raw_score`, target); clamps outside the range it saw."""
+    """Fit on (`raw_score`, target); clamps outside the range it saw. Rows of one score are
+    folded to their mean and weight first."""
+    folded = calibration.groupBy("raw_score").agg(
+        F.avg(F.col(target).cast("double")).alias(target),
+        F.count(F.lit(1)).cast("double").alias("weight"),
+    )
     learner = IsotonicRegression(
-        featuresCol="raw_score", labelCol=target, predictionCol="calibrated"
+        featuresCol="raw_score", labelCol=target, predictionCol="calibrated", weightCol="weight"
     )
-    return learner.fit(calibration.withColumn(target, F.col(target).cast("double")))
+    return learner.fit(folded)
 
 
 @dataclass(frozen=True)
@@ -253,30 +260,53 @@ class PropensityTrainer:
             "calibration"
         ), test
 
-    def pipeline(self, **params) -> Pipeline:
-        learner = GBTClassifier(
-            featuresCol="features", labelCol=self.target, seed=self.seed, **params
+    def learner(self, **params) -> GBTClassifier:
+        """Trees build on each other; without checkpoints the plan of many grows with each."""
+        context = self.df.sparkSession.sparkContext
+        if params.get("maxIter", 0) > UNCHECKED_TREES and not context.getCheckpointDir():
+            raise RuntimeError(f"more than {UNCHECKED_TREES} trees need spark.checkpoint.dir")
+        return GBTClassifier(
+            featuresCol="features",
+            labelCol=self.target,
+            seed=self.seed,
+            checkpointInterval=10,
+            **params,
         )
-        return Pipeline(stages=[*feature_stages(self.numerical, self.categorical), learner])
+
+    def pipeline(self, **params) -> Pipeline:
+        stages = feature_stages(self.numerical, self.categorical)
+        return Pipeline(stages=[*stages, self.learner(**params)])
 
     def tune(self, train: DataFrame) -> tuple[dict[str, object], float]:
-        """Best of `n_trials` random parameter sets by average precision over the folds."""
-        pipeline = self.pipeline()
-        learner = pipeline.getStages()[-1]
+        """Best of `n_trials` random parameter sets by average precision over the folds.
+
+        Encoders are fitted once per fold, trees once per fold and set; the winner is not fitted
+        again here.
+        """
         draws = draw_params(self.n_trials, self.space, self.seed)
-        maps = [{learner.getParam(k): v for k, v in drawn.items()} for drawn in draws]
-        search = CrossValidator(
-            estimator=pipeline,
-            estimatorParamMaps=maps,
-            evaluator=AveragePrecision(self.target, self.limits),
-            numFolds=self.n_folds,
-            foldCol="fold",
-            parallelism=self.parallelism,
+        metric = AveragePrecision(self.target, self.limits)
+        folded = numeric_inputs(
+            with_fold(train, self.n_folds, self.id_col, self.seed), self.numerical
         )
-        folded = with_fold(train, self.n_folds, self.id_col, self.seed)
-        metrics = search.fit(numeric_inputs(folded, self.numerical)).avgMetrics
-        best = max(range(len(draws)), key=lambda i: metrics[i])
-        return draws[best], float(metrics[best])
+        totals = [0.0] * len(draws)
+        for fold in range(self.n_folds):
+            rest, held = (folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold))
+            encoders = Pipeline(stages=feature_stages(self.numerical, self.categorical)).fit(rest)
+            rest, held = (
+                encoders.transform(part).select("features", self.target).persist()
+                for part in (rest, held)
+            )
+
+            def score(params: dict[str, object], rest=rest, held=held) -> float:
+                return metric.evaluate(self.learner(**params).fit(rest).transform(held))
+
+            with ThreadPool(self.parallelism) as pool:
+                found = pool.map(inheritable_thread_target(train.sparkSession)(score), draws)
+            totals = [total + value for total, value in zip(totals, found)]
+            rest.unpersist()
+            held.unpersist()
+        best = max(range(len(draws)), key=lambda i: totals[i])
+        return draws[best], totals[best] / self.n_folds
 
     def train(self, **params) -> tuple[DataFrame, DataFrame]:
         """Fit and calibrate; returns (train, test). Given `params` take the search's place."""

@@ -204,6 +204,20 @@ def test_limit_band_without_limits(spark):
         assert {r["limit_band"] for r in rows} == {"Unknown"}
 
 
+@pytest.mark.parametrize("limits", LIMITS)
+def test_amounts_are_kept_whole(spark, limits):
+    events = [paid(1, 2e16), paid(2, 0.1), received(3)]
+    row = abt_of(spark, events, limits)[0]
+    assert row["total_spend_before"] == 2e16 + 0.1 and row["transaction_count_before"] == 2
+    wide = spark.createDataFrame(
+        [("u", "A", 1.0, 6.0, "bogo", 5.0, 0, 0, 12.5, 2.5)],
+        "user_id string, offer_id string, t_received double, t_expires double, offer_type string, "
+        "duration double, completed int, viewed int, min_value double, discount_value double",
+    )
+    base = features.offer_static_features(features.base_opportunities(wide)).first()
+    assert (base["offer_min_spend"], base["offer_reward_ratio"]) == (12.5, 0.2)
+
+
 def test_missing_columns(spark):
     df = spark.createDataFrame([("u",)], "user_id string")
     with pytest.raises(ValueError, match="offer_id"):
