@@ -52,10 +52,8 @@ def correlation_matrix(
     schema = "a bigint, b bigint, n double, sx double, sy double, sxx double, syy double, sxy double"
     doubles = {c: F.col(c).cast("double") for c in names}
     values = df.select(*[F.when(~F.isnan(x), x).alias(c) for c, x in doubles.items()])
-    means = values.agg(*[F.avg(c).alias(f"_mean_{k}") for k, c in enumerate(names)])
-    centred = values.join(F.broadcast(means)).select(  # one row
-        *[(F.col(c) - F.col(f"_mean_{k}")).alias(c) for k, c in enumerate(names)]
-    )
+    means = values.agg(F.array(*[F.avg(c) for c in names])).scalar()
+    centred = values.select(*[(F.col(c) - means[k]).alias(c) for k, c in enumerate(names)])
     sums = (
         centred.mapInArrow(moments, schema)
         .groupBy("a", "b")
