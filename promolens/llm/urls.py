@@ -65,13 +65,11 @@ def templates(paths: DataFrame) -> DataFrame:
     path."""
     total = paths.agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
     of_all = total.select(
-        ((F.coalesce("b", F.lit(0)) + 1) / (F.coalesce("l", F.lit(0)) + 2)).alias("of_all")
-    )
+        (F.coalesce("b", F.lit(0)) + 1) / (F.coalesce("l", F.lit(0)) + 2)
+    ).scalar()
     segments = F.split(F.regexp_replace("path", "^/", ""), "/")
     of_host = paths.groupBy("host").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
-    of_host = of_host.join(F.broadcast(of_all)).select(  # one row
-        "host", _share(F.col("b"), F.col("l"), F.col("of_all")).alias("share")
-    )
+    of_host = of_host.select("host", _share(F.col("b"), F.col("l"), of_all).alias("share"))
     tree = paths.join(of_host, "host").select(
         "*",
         F.lit("").alias("template"),
