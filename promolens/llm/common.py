@@ -44,6 +44,8 @@ def map_columns(
         parts = (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS))
         for out in rows(p.to_pydict() for p in parts):
             yield pa.RecordBatch.from_pydict(out, kind)
+        # A worker lives on after its task; other tasks shall have the memory.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

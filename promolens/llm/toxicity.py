@@ -130,7 +130,8 @@ def fit(
             yield {"toxic": batch["toxic"], "at": [a.tolist() for a in at]}
 
     as_vector = F.udf(lambda at: SparseVector(len(kept), at, ratios[at].tolist()), VectorUDT())
-    rows = map_columns(sample, features, "toxic int, at array<int>").select(
+    # Stored, so that a task never holds two Python workers at once.
+    rows = stored(map_columns(sample, features, "toxic int, at array<int>")).select(
         F.col("toxic").cast("double").alias("label"), as_vector("at").alias("features")
     )
     fitted = LogisticRegression(regParam=1e-3, standardization=False, maxIter=60).fit(rows)

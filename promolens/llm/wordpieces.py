@@ -23,7 +23,7 @@ class WordIds:
     tokenizer's model directly where `SAMPLES` show that this gives the tokenizer's own ids.
     """
 
-    def __init__(self, path: str, remembered: int = 1 << 19):
+    def __init__(self, path: str, remembered: int = 1 << 17):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
