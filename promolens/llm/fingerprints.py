@@ -224,19 +224,27 @@ def fingerprint(found: Column) -> Column:
     )
 
 
+KEY = ("named", "id")  # doc_id as two columns without NULL, so that equality joins on it
+
+
+def keyed(docs: DataFrame, *columns: Column) -> DataFrame:
+    """`columns` next to doc_id's key; a NULL doc_id is the smallest."""
+    named = F.col("doc_id").isNotNull().alias("named")
+    return docs.select(named, F.coalesce("doc_id", F.lit(0)).alias("id"), *columns)
+
+
 def successors(docs: DataFrame) -> DataFrame:
-    """doc_id, next_id, half: the next larger doc_id, after the last one the first, and half the
-    length of the document's (longest) text. A NULL doc_id is the smallest.
+    """The key of each doc_id, that of the next larger doc_id (after the last one the first), and
+    half the length of the document's (longest) text.
 
     Ids are sorted in ranges and stored with their range; a range's last id is followed by the
     first id of the next range, and the ranges are as few as tasks.
     """
-    ids = docs.groupBy("doc_id").agg(
-        F.coalesce(F.max(F.floor(F.length("text") / 2)), F.lit(0)).cast("int").alias("half")
-    )
+    ids = keyed(docs, F.floor(F.length("text") / 2).cast("int").alias("half"))
+    ids = ids.groupBy(*KEY).agg(F.coalesce(F.max("half"), F.lit(0)).alias("half"))
     ranged = stored(
-        ids.repartitionByRange("doc_id").withColumn("part", F.spark_partition_id())
-    ).withColumn("key", F.struct("doc_id"))
+        ids.repartitionByRange(*KEY).withColumn("part", F.spark_partition_id())
+    ).withColumn("key", F.struct(*KEY))
     parts = ranged.groupBy("part").agg(F.min("key").alias("first"))
     order = Window.orderBy("part")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -245,7 +253,7 @@ def successors(docs: DataFrame) -> DataFrame:
     return (
         ranged.withColumn("next", within)
         .join(parts.select("part", after.alias("after")), "part")
-        .select("doc_id", F.coalesce("next", "after").doc_id.alias("next_id"), "half")
+        .select(*KEY, F.coalesce("next", "after").alias("next"), "half")
     )
 
 
@@ -256,16 +264,20 @@ def with_successors(docs: DataFrame) -> DataFrame:
     as can replace half of a text travel on. Of several rows with the next doc_id the least text
     is taken.
     """
-    text = F.coalesce("text", F.lit(""))
-    texts = docs.select("doc_id", text.alias("text")).repartition("doc_id")
-    following = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
-    pairs = successors(docs).withColumnRenamed("doc_id", "before_id")
-    heads = following.join(pairs, following.doc_id.eqNullSafe(pairs.next_id)).select(
-        "before_id",
+    # Both uses need the same columns, so that they share the shuffle.
+    texts = keyed(docs, F.coalesce("text", F.lit("")).alias("text")).repartition(*KEY)
+    following = texts.groupBy(*KEY).agg(F.min("text").alias("text"))
+    pairs = successors(docs).select(
+        *(F.col(k).alias(f"before_{k}") for k in KEY),
+        *(F.col("next")[k].alias(k) for k in KEY),
+        "half",
+    )
+    heads = following.join(pairs, [*KEY]).select(
+        *(F.col(f"before_{k}").alias(k) for k in KEY),
         F.left("text", F.col("half")).alias("head"),
         digests(F.col("text")).alias("next_digests"),
     )
-    return texts.join(heads, texts.doc_id.eqNullSafe(heads.before_id)).drop("before_id")
+    return texts.join(heads, [*KEY]).withColumn("doc_id", F.when(F.col("named"), F.col("id")))
 
 
 def compared(docs: DataFrame) -> DataFrame:
