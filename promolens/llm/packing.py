@@ -84,7 +84,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end: int = END) -> D
         .agg(F.count("*").alias("n"))
         .select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     )
-    return cut.join(counts, ["length", "part"]).select(
+    # One row for each task and length: the ids are not shuffled for it.
+    return cut.join(F.broadcast(counts), ["length", "part"]).select(
         "doc_id",
         "start",
         "length",
