@@ -159,7 +159,7 @@ def read_documents(segments: DataFrame) -> DataFrame:
     offsets = running_offsets(parts, ["part"], "n", "earlier").select("part", "earlier")
     return (
         map_columns(segments, rows, schema)
-        .join(offsets, "part")
+        .join(F.broadcast(offsets), "part")  # one row for each task that wrote
         .select("doc_id", (F.col("start") + F.col("earlier")).alias("start"), "n_tokens", "ids")
     )
 
