@@ -5,12 +5,12 @@ in a band meet in a bucket. No bucket is expanded into all pairs:
 
 1. In a few rounds each bucket picks a leader, in another order each round, and its members of
    another component are held against it. Components grow by the links confirmed.
-2. What then still lies in one bucket but in two components is compared pair by pair, so no link
-   between different texts is lost. Distances obey the triangle inequality, so a pair whose
-   distances to its leader differ too much is known to be apart and left out.
+2. What then still lies in one bucket but in two components is compared in tiles, all sets of
+   a tile at once, so no link between different texts is lost; only links leave a tile.
 
-A pair is first judged by its registers; unless that estimate is far below the limit, the sets
-themselves decide. Sets travel to tiles of bounded size, once for all pairs of a tile.
+In the rounds a pair is first judged by its registers; unless that estimate is far below the
+limit, the sets themselves decide. Sets travel to tiles of bounded size, once for all pairs of a
+tile.
 """
 
 from __future__ import annotations
@@ -27,10 +27,10 @@ from promolens.llm.components import components
 from promolens.llm.shingles import bands, estimate, mix, registers, shingle_set
 
 SHARED, OF = 75, 100  # linked: OF * shared shingles >= SHARED * shingles of either
-FAR = 1 - SHARED / OF
 ROUNDS = 3
 ERRORS = 5  # standard errors an estimate must lie below the limit to be believed
 TILE = 1 << 17  # shingles of each side of a tile on average
+COLUMNS = 2048  # shingles of a tile compared at a time
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -66,37 +66,27 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _judge(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
-    """Bounds of the distance of each pair of a tile: equal bounds where the sets were compared."""
+    """Whether each pair of a tile is linked."""
     found: dict[int, list[np.ndarray]] = {}
     for i, data in zip(sets["id"], sets["shingles"]):
         found.setdefault(i, []).append(np.frombuffer(data, np.uint64))
     known = {i: [registers(s) for s in own] for i, own in found.items()}
-    low, high = np.zeros(len(pairs)), np.ones(len(pairs))
+    linked = np.zeros(len(pairs), bool)
     for row, (x, y) in enumerate(zip(pairs["x"], pairs["y"])):
-        best = (1.0, 1.0)
         for a, regs_a in zip(found[x], known[x]):
             for b, regs_b in zip(found[y], known[y]):
                 likeness, error = estimate(regs_a, regs_b)
-                most = likeness + ERRORS * error
-                if OF * most < SHARED:
-                    best = min(best, (1 - most, 1.0))
+                if OF * (likeness + ERRORS * error) < SHARED:
                     continue
                 both = np.concatenate([a, b])
                 both.sort(kind="stable")
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                of = len(both) - shared
-                apart = 1 - shared / of
-                if OF * shared >= SHARED * of:
-                    apart = min(apart, FAR)
-                else:
-                    apart = max(apart, np.nextafter(FAR, 1))
-                best = min(best, (apart, apart))
-        low[row], high[row] = best
-    return pd.DataFrame({"x": pairs["x"], "y": pairs["y"], "low": low, "high": high})
+                linked[row] |= OF * shared >= SHARED * (len(both) - shared)
+    return pd.DataFrame({"x": pairs["x"], "y": pairs["y"], "linked": linked})
 
 
 def judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """x, y, low, high of `pairs` (target, x, y, nx, ny), unique in x and y.
+    """x, y, linked of `pairs` (target, x, y, nx, ny), unique in x and y.
 
     The pairs of a target are dealt to a grid of tiles by x and y, as fine as their sets are
     large.
@@ -114,14 +104,8 @@ def judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     tiles = stored(tiles)
     needed = tiles.select("tile", F.col("x").alias("id")).union(tiles.select("tile", "y")).distinct()
     sent = needed.join(sets, "id").select(F.col("tile").alias("to"), "id", "shingles")
-    schema = "x long, y long, low double, high double"
-
-    def judge(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
-        return _judge(pairs, sets)
-
-    return stored(
-        tiles.groupBy("tile").cogroup(sent.groupBy("to")).applyInPandas(judge, schema)
-    )
+    both = tiles.groupBy("tile").cogroup(sent.groupBy("to"))
+    return stored(both.applyInPandas(_judge, "x long, y long, linked boolean"))
 
 
 def _in_components(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -156,15 +140,14 @@ def _led(members: DataFrame, order: int) -> DataFrame:
 
 
 def _links(judgements: DataFrame) -> DataFrame:
-    return judgements.where(F.col("high") <= FAR).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    return judgements.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 def linked_nodes(members: DataFrame, sets: DataFrame) -> DataFrame:
     """id and component of the nodes that `members` (bucket, id, n) brings together."""
     spark = members.sparkSession
-    tested = spark.createDataFrame([], "x long, y long, low double, high double")
+    tested = spark.createDataFrame([], "x long, y long, linked boolean")
     rest = members.withColumn("component", F.col("id"))
-    led = rest
     for order in range(ROUNDS):
         led = stored(_led(rest, order))
         pairs = (
@@ -181,37 +164,54 @@ def linked_nodes(members: DataFrame, sets: DataFrame) -> DataFrame:
         )
         tested = tested.union(judged(stored(pairs), sets))
         rest = _in_components(led.select("bucket", "id", "n"), _links(tested))
-    last = (
-        rest.join(led.select("bucket", "id", "leader"), ["bucket", "id"])
-        .join(
-            tested.select(F.col("x").alias("leader"), F.col("y").alias("id"), "low", "high"),
-            ["leader", "id"],
-            "left",
-        )
-        .withColumn("low", F.when(F.col("id") == F.col("leader"), 0.0).otherwise(F.coalesce("low", F.lit(0.0))))
-        .withColumn("high", F.when(F.col("id") == F.col("leader"), 0.0).otherwise(F.coalesce("high", F.lit(1.0))))
+    return components(_links(tested).union(_missing_links(rest, sets)))
+
+
+def _crossing(tile: pd.DataFrame) -> pd.DataFrame:
+    """A link for each two components of a tile that are linked, by the sizes of all
+    intersections: products of 0/1 matrices, some shingles at a time."""
+    sets = [np.frombuffer(s, np.uint64) for s in tile["shingles"]]
+    size = np.array([len(s) for s in sets])
+    _, names, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), size)
+    common = counts[names] > 1
+    # Numbers of the shingles that several sets have.
+    number = np.cumsum(counts > 1) - 1
+    name, owner = number[names[common]], owner[common]
+    order = np.argsort(name, kind="stable")
+    name, owner = name[order], owner[order]
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(name[-1]) + 1 if len(name) else 0, COLUMNS):
+        lo, hi = np.searchsorted(name, (start, start + COLUMNS))
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[lo:hi], name[lo:hi] - start] = 1
+        shared += held @ held.T
+    linked = OF * shared >= SHARED * (size[:, None] + size[None, :] - shared)
+    component, ids = (tile[c].to_numpy(np.int64) for c in ("component", "id"))
+    x, y = np.nonzero(linked & (component[:, None] < component[None, :]))
+    pairs = pd.DataFrame({"a": ids[x], "b": ids[y], "of_a": component[x], "of_b": component[y]})
+    return pairs.drop_duplicates(["of_a", "of_b"])[["a", "b"]]
+
+
+def _missing_links(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components that share a bucket of `mixed`.
+
+    The nodes of all buckets with one least component are compared with each other, in tiles of
+    two parts of bounded size; a tile gives one link for two components at most.
+    """
+    least = mixed.groupBy("bucket").agg(F.min("component").alias("target"))
+    met = stored(
+        mixed.join(least, "bucket").select("target", "id", "n", "component").distinct()
     )
-    main = rest.groupBy("bucket").agg(F.mode("component", True).alias("main"))
-    last = stored(last.join(main, "bucket"))
-    slack = FAR + 1e-9
-    x, y = last.alias("x"), last.where("component <> main").alias("y")
-    apart = (F.col("x.low") - F.col("y.high") > slack) | (F.col("y.low") - F.col("x.high") > slack)
-    once = (F.col("x.component") == F.col("x.main")) | (F.col("x.id") < F.col("y.id"))
-    pairs = (
-        x.join(y, "bucket")
-        .where((F.col("x.component") != F.col("y.component")) & once & ~apart)
-        .select(
-            F.col("x.component").alias("target"),
-            F.col("x.id").alias("x"),
-            F.col("y.id").alias("y"),
-            F.col("x.n").alias("nx"),
-            F.col("y.n").alias("ny"),
-        )
-        .distinct()
+    parts = met.groupBy("target").agg(F.ceil(F.sum("n") / TILE).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("id"), F.col("parts"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    tiles = met.join(parts, "target").select("target", "id", "component", own.alias("own"), other)
+    low, high = F.least("own", F.col("other").cast("long")), F.greatest("own", F.col("other").cast("long"))
+    tiles = tiles.select(F.xxhash64("target", low, high).alias("tile"), "id", "component")
+    return stored(
+        tiles.join(sets, "id").groupBy("tile").applyInPandas(_crossing, "a long, b long")
     )
-    seen = tested.select("x", "y").union(tested.select("y", "x"))
-    pairs = stored(pairs.join(seen, ["x", "y"], "left_anti"))
-    return components(_links(tested.union(judged(pairs, sets))))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
