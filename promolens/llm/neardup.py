@@ -143,8 +143,24 @@ def _links(judgements: DataFrame) -> DataFrame:
     return judgements.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def linked_nodes(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """id and component of the nodes that `members` (bucket, id, n) brings together."""
+def of_one_document(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) from each node (name, name2, id) of a document with several sets to the least
+    node of that document.
+
+    Documents with several sets are found by aggregates, so only their rows meet the nodes.
+    """
+    ends = {f"{f.__name__}_{c}": f(c) for c in ("name", "name2") for f in (F.min, F.max)}
+    several = rows.groupBy("doc_id").agg(*(e.alias(name) for name, e in ends.items()))
+    several = several.where("min_name <> max_name or min_name2 <> max_name2").select("doc_id")
+    own = rows.select("doc_id", "name", "name2").join(several, "doc_id").distinct()
+    own = stored(own.join(nodes, ["name", "name2"]).select("doc_id", "id").distinct())
+    least = own.groupBy("doc_id").agg(F.min("id").alias("b"))
+    return own.join(least, "doc_id").select(F.col("id").alias("a"), "b").where("a <> b").distinct()
+
+
+def linked_nodes(members: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
+    """id and component of the nodes that `members` (bucket, id, n) and the links `known` (a, b)
+    bring together."""
     spark = members.sparkSession
     tested = spark.createDataFrame([], "x long, y long, linked boolean")
     rest = members.withColumn("component", F.col("id"))
@@ -164,7 +180,7 @@ def linked_nodes(members: DataFrame, sets: DataFrame) -> DataFrame:
         )
         tested = tested.union(judged(stored(pairs), sets))
         rest = _in_components(led.select("bucket", "id", "n"), _links(tested))
-    return components(_links(tested).union(_missing_links(rest, sets)))
+    return components(_links(tested).union(_missing_links(rest, sets)).union(known))
 
 
 def _crossing(tile: pd.DataFrame) -> pd.DataFrame:
@@ -221,11 +237,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     five words, or of all words if there are fewer. Documents whose sets share at least 75 of 100
     shingles are linked; a component's id is its least doc_id, and that document is kept.
     A NULL or empty text has an empty set and is linked with nothing. Rows of one doc_id are one
-    document. A NULL doc_id takes no part: its component_id is NULL and it is kept. Other columns
-    are ignored.
+    document: whatever their texts, they have one component. A NULL doc_id takes no part: its
+    component_id is NULL and it is kept. Other columns are ignored.
     """
-    rows = stored(sketches(docs))
-    some = rows.where("n > 0 and doc_id is not null")
+    # The empty set is a node of its own in each document.
+    name = F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("doc_id"))
+    rows = stored(sketches(docs).withColumn("name", name))
+    some = rows.where("doc_id is not null")
     nodes = stored(some.groupBy("name", "name2").agg(F.min("doc_id").alias("id")))
     own = nodes.withColumnRenamed("id", "doc_id")
     banded = (
@@ -236,18 +254,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = banded.join(shared, "bucket").groupBy("bucket", "id").agg(F.max("n").alias("n"))
     members = stored(members)
     sets = stored(sets_of(docs, members.select("id").distinct()))
-    found = linked_nodes(members, sets)
+    found = linked_nodes(members, sets, of_one_document(some, nodes))
     labels = nodes.join(found, "id", "left").select(
         "name", "name2", F.coalesce("component", "id").alias("of_set")
     )
-    component = F.when(F.col("n") > 0, F.col("of_set")).otherwise(F.col("doc_id"))
     return (
         rows.select("doc_id", "n", "name", "name2")
         .join(labels, ["name", "name2"], "left")
         .select(
             "doc_id",
             F.col("n").alias("n_shingles"),
-            F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
+            F.when(F.col("doc_id").isNotNull(), F.col("of_set")).alias("component_id"),
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )

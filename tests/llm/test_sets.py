@@ -90,6 +90,22 @@ def test_near_duplicates_of_odd_rows(odd, nothing):
     assert kept.columns == odd.columns
 
 
+def test_rows_of_one_document_have_one_component(spark):
+    a, b, c, d = ("a b c d e f g", "h i j k l m n", "o p q r s t u", "v w x y z")
+    rows = [(5, a), (7, a), (3, b), (5, b)]  # 5 has the texts of 7 and of 3
+    rows += [(25, c), (27, c), (27, d), (23, d)]
+    rows += [(39, None), (39, "short text"), (38, "short text"), (41, ""), (41, None), (43, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = neardup.near_duplicates(docs).collect()
+    assert len(found) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in found} == {
+        (3, 3), (5, 3), (7, 3), (23, 23), (25, 23), (27, 23), (38, 38), (39, 38), (41, 41), (43, 43),
+    }
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+    kept = sorted(r.doc_id for r in neardup.kept_documents(docs).collect())
+    assert kept == [3, 23, 38, 41, 41, 43]
+
+
 def test_shingles_in_spans(monkeypatch):
     whole = shingles.shingle_set(TEXTS[3][1])
     assert len(whole) == len(shingle_set(TEXTS[3][1]))
