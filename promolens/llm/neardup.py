@@ -30,6 +30,7 @@ SHARED, OF = 75, 100  # linked: OF * shared shingles >= SHARED * shingles of eit
 ROUNDS = 3
 ERRORS = 5  # standard errors an estimate must lie below the limit to be believed
 TILE = 1 << 17  # shingles of each side of a tile on average
+SETS = 1 << 10  # sets of each side of a tile on average, at most
 COLUMNS = 2048  # shingles of a tile compared at a time
 
 
@@ -85,16 +86,21 @@ def _judge(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"x": pairs["x"], "y": pairs["y"], "linked": linked})
 
 
+def _parts(n: str) -> Column:
+    """How many parts the sets of a target are cut into, by their shingles and by their count."""
+    return F.greatest(F.ceil(F.sum(n) / TILE), F.ceil(F.count(n) / SETS)).cast("int")
+
+
 def judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """x, y, linked of `pairs` (target, x, y, nx, ny), unique in x and y.
 
     The pairs of a target are dealt to a grid of tiles by x and y, as fine as their sets are
-    large.
+    large or many.
     """
 
     def parts(side: str) -> DataFrame:
         of_target = pairs.select("target", side, f"n{side}").distinct().groupBy("target")
-        return of_target.agg(F.ceil(F.sum(f"n{side}") / TILE).cast("int").alias(f"parts_{side}"))
+        return of_target.agg(_parts(f"n{side}").alias(f"parts_{side}"))
 
     def at(side: str) -> Column:
         return F.pmod(F.xxhash64(side), F.greatest(F.col(f"parts_{side}"), F.lit(1)))
@@ -219,7 +225,7 @@ def _missing_links(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     met = stored(
         mixed.join(least, "bucket").select("target", "id", "n", "component").distinct()
     )
-    parts = met.groupBy("target").agg(F.ceil(F.sum("n") / TILE).cast("int").alias("parts"))
+    parts = met.groupBy("target").agg(_parts("n").alias("parts"))
     own = F.pmod(F.xxhash64("id"), F.col("parts"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     tiles = met.join(parts, "target").select("target", "id", "component", own.alias("own"), other)

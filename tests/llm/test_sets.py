@@ -75,6 +75,20 @@ def test_links_near_the_limit(spark, monkeypatch):
         check_components(neardup.near_duplicates(docs).collect(), texts)
 
 
+def test_tiles_hold_few_small_sets(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SETS", 50, raising=False)
+
+    def counted(tile):
+        return tile.assign(a=len(tile), b=0)[["a", "b"]][:1]
+
+    monkeypatch.setattr(neardup, "_crossing", counted)
+    ids = spark.range(1000)
+    mixed = ids.select(F.lit(1).alias("bucket"), "id", F.lit(1).alias("n"), F.col("id").alias("component"))
+    sets = ids.select("id", F.lit(b"12345678").alias("shingles"))
+    held = [r.a for r in neardup._missing_links(mixed, sets).collect()]
+    assert len(held) > 100 and max(held) < 2 * 50 * 1.6
+
+
 def test_near_duplicates_of_odd_rows(odd, nothing):
     found = neardup.near_duplicates(odd).collect()
     assert len(found) == len(TEXTS)
