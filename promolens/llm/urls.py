@@ -1,9 +1,9 @@
 """URL verdicts by rules and, where no rule fits, by a tree of path templates.
 
 A path's segments are generalised: numbers and hex strings become wildcards, extensions stay. Per
-host the segments form a tree, built level by level: a node with too many different children gets
-one wildcard child, and labelled children whose shares of blocked URLs do not differ significantly
-become one branch. A branch's share is smoothed towards its parent's, the host's towards the share
+host the segments form a tree, built level by level until every path has ended: of a node with many
+different children those without labels get one wildcard child, and labelled children whose shares
+of blocked URLs do not differ significantly become one branch. A branch's share is smoothed towards its parent's, the host's towards the share
 of all; a template whose smoothed share of blocked URLs is high is rejected. The labels are the
 verdicts of the rules.
 
@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 
 from promolens.llm.common import stored
 
-LEVELS = 4  # segments that get levels of their own; what lies deeper is one wildcard
-CHILDREN = 32  # different children of a node beyond which they become one wildcard
+CHILDREN = 32  # different children of a node beyond which those without labels are one wildcard
 WEIGHT = 4.0  # labelled URLs that a parent's share counts as
 SIMILAR = 1.96  # standard errors within which two shares are taken as equal
 REJECT = 0.5
@@ -70,62 +69,101 @@ def templates(paths: DataFrame) -> DataFrame:
     segments = F.split(F.regexp_replace("path", "^/", ""), "/")
     of_host = paths.groupBy("host").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
     of_host = of_host.select("host", _share(F.col("b"), F.col("l"), of_all).alias("share"))
-    tree = paths.join(of_host, "host").select(
-        "*",
-        F.lit("").alias("template"),
-        F.concat(
-            F.slice(segments, 1, LEVELS),
-            F.when(F.size(segments) > LEVELS, F.array(F.lit("*"))).otherwise(F.array()),
-        ).alias("segments"),
+    tree = stored(
+        paths.join(of_host, "host").select(
+            "*", F.lit("").alias("template"), segments.alias("segments")
+        )
     )
     node = ["host", "template"]
-    for level in range(LEVELS + 1):
-        here = tree.withColumn("segment", F.get("segments", F.lit(level)))
-        ended = here.where("segment is null").drop("segment")
-        going = here.where("segment is not null")
-        many = going.groupBy(*node).agg(F.countDistinct("segment").alias("children"))
-        going = going.join(many, node).withColumn(
-            "segment", F.when(F.col("children") > CHILDREN, "*").otherwise(F.col("segment"))
-        )
-        branches = going.groupBy(*node, "segment").agg(
-            F.sum("labelled").alias("l"), F.sum("blocked").alias("b"), F.first("share").alias("parent")
-        )
-        going = going.join(_merged(branches, node), [*node, "segment"]).select(
+    level = 0
+    while not (going := tree.where(F.size("segments") > level)).isEmpty():
+        ended = tree.where(F.size("segments") <= level)
+        going = going.withColumn("segment", F.get("segments", F.lit(level)))
+        left = F.slice("segments", level + 1, F.size("segments"))
+        # A node's only path ends at once: the levels below have one child each.
+        l, b, steps = F.col("labelled"), F.col("blocked"), F.size("segments") - level
+        rest = F.when(
+            l > 0, b / l + (F.col("share") - b / l) * F.pow(WEIGHT / (l + WEIGHT), steps)
+        ).otherwise(F.col("share"))
+        going = going.join(_branches(going, node), [*node, "segment"]).select(
             "host",
             "path",
             "labelled",
             "blocked",
-            "new_share",
-            F.concat("template", F.lit("/"), "branch").alias("template"),
-            "segments",
+            F.when(F.col("sole"), rest).otherwise(F.col("new_share")).alias("share"),
+            F.concat(
+                "template",
+                F.lit("/"),
+                F.when(F.col("sole"), F.array_join(left, "/")).otherwise(F.col("branch")),
+            ).alias("template"),
+            F.when(F.col("sole"), F.array().cast("array<string>"))
+            .otherwise(F.col("segments"))
+            .alias("segments"),
         )
-        # Each level reads the one before three times.
-        tree = stored(ended.unionByName(going.withColumnRenamed("new_share", "share")))
+        # Each level reads the one before several times.
+        tree = stored(ended.unionByName(going))
+        level += 1
     return tree.select("host", "path", "template", "share")
 
 
-def _merged(branches: DataFrame, node: list[str]) -> DataFrame:
-    """branch and its share for each child of a node.
+def _branches(going: DataFrame, node: list[str]) -> DataFrame:
+    """branch and its new_share for each child (segment) of a node, and whether the node has a
+    sole path.
 
     Labelled children are ordered by their share; one that differs significantly from the one
-    before begins a new branch. Children without labels stay alone and get the parent's share.
+    before begins a new branch. Children without labels get the parent's share; they stay alone,
+    or are one wildcard where the node has many children. Children of one share never differ, so
+    only each share's first and last child are compared.
     """
-    rate = F.col("b") / F.col("l")
-    order = Window.partitionBy(*node, F.col("l") > 0).orderBy("rate", "segment")
-    l0, b0 = F.lag("l").over(order), F.lag("b").over(order)
-    pooled = (F.col("b") + b0 + 1) / (F.col("l") + l0 + 2)
-    error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("l") + 1 / l0))
+    children = going.groupBy(*node, "segment").agg(
+        F.sum("labelled").alias("l"),
+        F.sum("blocked").alias("b"),
+        F.first("share").alias("parent"),
+        F.count(F.lit(1)).alias("paths"),
+    )
+    children = children.withColumn("rate", F.when(F.col("l") > 0, F.col("b") / F.col("l")))
+    of_node = children.groupBy(*node).agg(
+        (F.count(F.lit(1)) > CHILDREN).alias("many"), (F.sum("paths") == 1).alias("sole")
+    )
+    child = F.struct("segment", "l", "b")
+    rates = (
+        children.where("l > 0")
+        .groupBy(*node, "rate")
+        .agg(
+            F.min(child).alias("head"),
+            F.max(child).alias("tail"),
+            F.sum("l").alias("l"),
+            F.sum("b").alias("b"),
+            F.first("parent").alias("parent"),
+        )
+    )
+    order = Window.partitionBy(*node).orderBy("rate")
+    before = F.lag("tail").over(order)
+    l, b, l0, b0 = F.col("head.l"), F.col("head.b"), before["l"], before["b"]
+    pooled = (b + b0 + 1) / (l + l0 + 2)
+    error = F.sqrt(pooled * (1 - pooled) * (1 / l + 1 / l0))
     apart = F.coalesce(F.col("rate") - b0 / l0 > SIMILAR * error, F.lit(False)).cast("int")
-    marked = branches.withColumn("rate", F.when(F.col("l") > 0, rate)).withColumn("apart", apart)
     number = F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    alone = F.when(F.col("l") > 0, F.lit("")).otherwise(F.col("segment"))
-    marked = marked.withColumn("number", number).withColumn("alone", alone)
-    branch = Window.partitionBy(*node, "number", "alone")
-    return marked.select(
-        *node,
-        "segment",
-        F.min("segment").over(branch).alias("branch"),
-        _share(F.sum("b").over(branch), F.sum("l").over(branch), F.col("parent")).alias("new_share"),
+    branch = Window.partitionBy(*node, "number")
+    share = _share(F.sum("b").over(branch), F.sum("l").over(branch), F.col("parent"))
+    merged = (
+        rates.withColumn("apart", apart)
+        .withColumn("number", number)
+        .select(
+            *node, "rate", F.min("head.segment").over(branch).alias("merged"), share.alias("merged_share")
+        )
+    )
+    unlabelled = F.when(F.col("many"), "*").otherwise(F.col("segment"))
+    return (
+        children.join(of_node, node)
+        .join(merged, [*node, "rate"], "left")
+        .select(
+            *node,
+            "segment",
+            "sole",
+            F.coalesce("merged", unlabelled).alias("branch"),
+            F.coalesce("merged_share", "parent").alias("new_share"),
+        )
     )
 
 

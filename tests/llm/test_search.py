@@ -126,6 +126,20 @@ def test_templates_learn_from_labelled_paths(spark):
     assert found[2000].share == (0 + 4 * 201 / 302) / 4
 
 
+def test_labelled_branches_differ_among_many_sections_and_deep_down(spark):
+    at = {"x.com": "", "y.com": "a/b/c/d/e/"}  # the split is at the first and at the sixth segment
+    rules = [(f"{h}/{p}e/bad/", "block") for h, p in at.items()]
+    rules += [(f"{h}/{p}f/good/", "allow") for h, p in at.items()]
+    urls_of = [f"{h}/{p}{s}/w{k}" for h, p in at.items() for s in ("e/bad", "f/good") for k in range(30)]
+    urls_of += [f"{h}/{p}{s}/zzz" for h, p in at.items() for s in "ef"]
+    urls_of += [f"x.com/section{k}/w" for k in range(40)]
+    found = urls.judge(pages(spark, [(k, f"http://{u}") for k, u in enumerate(urls_of)]), rules)
+    found = {r.host + r.path: (r.verdict, r.template) for r in found.collect()}
+    for h, p in at.items():
+        assert found[f"{h}/{p}e/zzz"][0] == "block" and found[f"{h}/{p}f/zzz"][0] == "allow"
+    assert {found[f"x.com/section{k}/w"][1] for k in range(40)} == {"/*/w"}
+
+
 def test_generalised_paths(spark):
     df = spark.createDataFrame(
         [("/en/12/x9.html",), ("/2024/01.html",), ("/9f86d081884c7d659a2feaa0c55ad015/",), ("",), ("/1/2",)], "p string"
