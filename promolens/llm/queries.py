@@ -13,7 +13,9 @@ from promolens.llm import (
     fingerprints,
     langid,
     neardup,
+    oracle,
     packing,
+    resampling,
     sharding,
     token_files,
     toxicity,
@@ -91,6 +93,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    found = resampling.resample(docs, benchmark)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 REGISTERED = (
     op1_bpe,
     op2_packing,
@@ -102,6 +110,7 @@ REGISTERED = (
     op8_token_files,
     op9_near_duplicates,
     op10_toxicity,
+    op12_resampling,
 )
 
 
@@ -130,4 +139,4 @@ QUALIFY rank <= 20
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_top_k": OP5}
+    return {"op5_top_k": OP5, "op12_resampling": oracle.OP12}
