@@ -13,8 +13,10 @@ from pyspark.sql.types import StructType
 
 from promolens.sources import scratch_dir
 
-#: Rows taken from an Arrow batch at a time, so that few Python strings live at once.
+#: Rows and bytes taken from an Arrow batch at a time, so that few Python strings live at once; a
+#: row larger than this is taken alone.
 ROWS = 256
+BYTES = 4 << 20
 
 Columns = dict[str, list]
 
@@ -34,15 +36,24 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """`batch` in order, halved until each piece keeps to `ROWS` and `BYTES`."""
+    if batch.num_rows > 1 and (batch.num_rows > ROWS or batch.nbytes > BYTES):
+        half = batch.num_rows // 2
+        yield from pieces(batch.slice(0, half))
+        yield from pieces(batch.slice(half))
+    elif batch.num_rows:
+        yield batch
+
+
 def map_columns(
     df: DataFrame, rows: Callable[[Iterable[Columns]], Iterator[Columns]], schema: str
 ) -> DataFrame:
-    """A task's rows through `rows`, which gets and gives columns of at most `ROWS` input rows."""
+    """A task's rows through `rows`, which gets and gives columns of a few input rows."""
     kind = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS))
-        for out in rows(p.to_pydict() for p in parts):
+        for out in rows(p.to_pydict() for b in batches for p in pieces(b)):
             yield pa.RecordBatch.from_pydict(out, kind)
         # A worker lives on after its task; other tasks shall have the memory.
         pa.default_memory_pool().release_unused()
@@ -50,6 +61,26 @@ def map_columns(
     return df.mapInArrow(run, schema)
 
 
+def hashed_share(rows: DataFrame, by: list[str], most: int) -> DataFrame:
+    """The rows whose hashed columns `by` are least, about `most` of them, all if there are fewer.
+
+    The edge follows from the count of rows, so no row is shuffled. Rows alike in `by` go together.
+    """
+    total = rows.count()
+    if total <= most:
+        return rows
+    share = min(1.0, (most + 4 * most**0.5) / total)
+    return rows.where(F.xxhash64(*by) <= int(share * (2**64 - 1)) - 2**63)
+
+
+def drawn(rows: DataFrame, by: list[str], most: int) -> DataFrame:
+    """At most `most` rows, those whose hashed columns `by` are least, however many are alike.
+
+    Only the few rows below the edge of `hashed_share` are ranked; `rows` should be stored.
+    """
+    return hashed_share(rows, by, most).orderBy(F.xxhash64(*by), *by).limit(most)
+
+
 def bounded(memory: dict, most: int) -> dict:
     """`memory` itself, or once it is too large its older half: frequent keys come early."""
     return memory if len(memory) <= most else dict(islice(memory.items(), most // 2))

@@ -5,15 +5,42 @@ from __future__ import annotations
 import os
 from array import array
 from functools import lru_cache
-from itertools import chain
 
-from promolens.llm.common import bounded, byte_alphabet
+from promolens.llm.common import byte_alphabet
 
 STOPS = ".,!?;:"
 LAST_LATIN = "ɏ"  # up to here letters are composed ones
+LONGEST = 64  # longer words are not remembered
 SAMPLES = ("The", "nations", "Straße", "Été", "naïve", "don", "I")
 
 
+class Remembered(dict):
+    """A memory of two generations: what is met while an entry of the old one is young again.
+
+    `find` gives the value of a key in neither. Once the young generation is full it becomes the
+    old one, so an entry goes that was not met during the last `most` new ones.
+    """
+
+    def __init__(self, find, most: int, old: dict | None = None):
+        super().__init__()
+        self.find, self.most, self.old = find, most, old or {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.find(key)
+        if len(key) <= LONGEST:
+            self[key] = value
+        return value
+
+    def aged(self) -> Remembered:
+        """The memory to go on with."""
+        if len(self) < self.most:
+            return self
+        self.old = {}
+        return Remembered(self.find, self.most, self)
+
+
 class WordIds:
     """Ids as little-endian unsigned 32-bit bytes.
 
@@ -23,59 +50,70 @@ class WordIds:
     tokenizer's model directly where `SAMPLES` show that this gives the tokenizer's own ids.
     """
 
-    def __init__(self, path: str, remembered: int = 1 << 17):
+    def __init__(self, path: str, remembered: int = 1 << 19):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
-        self._known: dict[str, bytes] = {}
-        self._plain: dict[str, bytes] = {}
-        self._remembered = remembered
         self._alphabet = byte_alphabet()
+        self._ends = Remembered(self._by_tokenizer, 1 << 10)
+        self._known = Remembered(self._word, remembered // 2)
         self._direct = all(
             self._by_model(w.lower()) == ids[: -len(end)] and ids.endswith(end)
             for w in SAMPLES
-            for ids, end in [self._by_tokenizer([w + ".", "."])]
+            for ids, end in [(self._by_tokenizer(w + "."), self._by_tokenizer("."))]
         )
 
-    def _by_tokenizer(self, words: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch(words, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+    def _by_tokenizer(self, word: str) -> bytes:
+        return array("I", self._tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def _by_model(self, word: str) -> bytes:
-        symbols = "".join(map(self._alphabet.__getitem__, word.encode()))
+        symbols = word
+        if not word.isascii():
+            symbols = "".join(map(self._alphabet.__getitem__, word.encode()))
         return array("I", [t.id for t in self._tokenizer.model.tokenize(symbols)]).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        known = self._known
-        plain = self._plain = bounded(self._plain, self._remembered // 2)
-        ends = {w[len(w.rstrip(STOPS)) :] for w in words}
-        ends = dict(zip(ends, self._by_tokenizer(list(ends))))
-        rest = []
-        for word in words:
-            bare = word.rstrip(STOPS)
-            low = bare.lower()
-            if self._direct and low.isalpha() and max(bare) <= LAST_LATIN and len(low) <= 64:
-                ids = plain.get(low)
-                if ids is None:
-                    ids = plain[low] = self._by_model(low)
-                known[word] = ids + ends[word[len(bare) :]]
-            else:
-                rest.append(word)
-        known.update(zip(rest, self._by_tokenizer(rest)))
+    def _plain(self, low: str, word: str) -> bool:
+        """Whether the model may be asked for `low`, the lower-cased `word`, directly."""
+        return (
+            self._direct
+            and low.isalpha()
+            and len(low) <= LONGEST
+            and (low.isascii() or max(word) <= LAST_LATIN)
+        )
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word met for the first time; a capital or a stop at its end makes no new word."""
+        low = word.lower()
+        if self._plain(low, word):
+            return self._by_model(low) if low == word else self._known[low]
+        bare = word.rstrip(STOPS)
+        low = bare.lower()
+        if bare != word and self._plain(low, bare):
+            return self._known[low] + self._ends[word[len(bare) :]]
+        return self._by_tokenizer(word)
+
+    def _lowered(self, text: str) -> str:
+        """The text, lower-cased where that changes no id: Latin-1 letters are composed and have
+        one lower case each, and a special token's string can only come from another case."""
+        if self._direct and "<|" not in text:
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text
+            return text.lower()
+        return text
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        known = self._known = bounded(self._known, self._remembered)
-        words = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = list(set(chain.from_iterable(words)).difference(known))
-        self._learn(new)
-        ids = [b"".join(map(known.__getitem__, w)) for w in words]
-        for w in new:
-            if len(w) > 64:
-                del known[w]
-        return ids
+        out = []
+        for text in texts:
+            known = self._known = self._known.aged()
+            words = self._lowered(text or "").replace("\n", " ").split(" ")
+            out.append(b"".join(map(known.__getitem__, words)))
+            self._ends = self._ends.aged()
+        return out
 
 
 @lru_cache(maxsize=4)
