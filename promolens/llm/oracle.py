@@ -57,3 +57,45 @@ SELECT doc_id, n_features, weight, score,
   THEN place END AS rank
 FROM ranks
 """
+
+OP11 = f"""
+WITH {STEPS}, turns AS (
+  SELECT conv_id, turn, octet_length(encode(coalesce(text, ''))) AS size,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos FROM turns
+), convs AS (
+  SELECT c, c - c % 5 AS base, {crc32("CAST(c AS VARCHAR)")} % 9 AS h
+  FROM (SELECT DISTINCT conv_id AS c FROM turns), steps
+), heads AS (
+  SELECT c, pos AS d, size, digest FROM convs JOIN numbered ON conv_id = base AND pos <= h
+), own AS (
+  SELECT c, pos - h + (SELECT count(*) FROM heads WHERE heads.c = convs.c) AS d, size, digest
+  FROM convs JOIN numbered ON conv_id = c AND pos > h
+), rebuilt AS (SELECT * FROM heads UNION ALL SELECT * FROM own
+), paths AS (
+  SELECT c, d, size, string_agg(digest, '') OVER (PARTITION BY c ORDER BY d) AS path FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM convs
+), nodes AS (
+  SELECT d, path, min(c) AS conv_id, count(*) AS n, min(size) AS size FROM paths GROUP BY d, path
+), ends AS (
+  SELECT path, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+  FROM (SELECT c, path FROM paths QUALIFY row_number() OVER (PARTITION BY c ORDER BY d DESC) = 1)
+  GROUP BY path
+), children AS (
+  SELECT v.path, count(*) AS n FROM nodes v JOIN nodes u ON u.d = v.d + 1 AND starts_with(u.path, v.path)
+  GROUP BY v.path
+), subtrees AS (
+  SELECT v.path, sum((u.n - 1) * u.size) AS saved, count(*) FILTER (WHERE k.n IS NULL) AS leaves
+  FROM nodes v JOIN nodes u ON starts_with(u.path, v.path) LEFT JOIN children k ON k.path = u.path
+  GROUP BY v.path
+)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n AS n_convs,
+  coalesce(k.n, 0) AS n_children, leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes v JOIN subtrees USING (path)
+LEFT JOIN children k ON k.path = v.path
+LEFT JOIN ends ON ends.path = v.path
+LEFT JOIN nodes p ON v.d > 0 AND p.path = substr(v.path, 1, CAST(32 * (v.d - 1) AS BIGINT))
+"""

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from promolens.llm import (
     bpe,
+    conversations,
     fingerprints,
     langid,
     neardup,
     oracle,
     packing,
     resampling,
+    secrets,
     sharding,
     token_files,
     toxicity,
@@ -93,12 +95,33 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     found = resampling.resample(docs, benchmark)
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.find(docs, secrets.fit(docs))
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    def listed(spans: Column) -> Column:
+        parts = lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])
+        return F.array_join(F.transform(spans, parts), ",")
+
+    base = secrets.KINDS[:-1]
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in base]
+    digest = F.sha2(listed(of(*base)), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, listed(F.col("spans")).alias("spans"))
+
+
 REGISTERED = (
     op1_bpe,
     op2_packing,
@@ -110,7 +133,9 @@ REGISTERED = (
     op8_token_files,
     op9_near_duplicates,
     op10_toxicity,
+    op11_conversations,
     op12_resampling,
+    op13_secrets,
 )
 
 
@@ -139,4 +164,8 @@ QUALIFY rank <= 20
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_top_k": OP5, "op12_resampling": oracle.OP12}
+    return {
+        "op5_top_k": OP5,
+        "op11_conversations": oracle.OP11,
+        "op12_resampling": oracle.OP12,
+    }
