@@ -74,13 +74,17 @@ def event_log(events: DataFrame, profile: DataFrame, offers: DataFrame) -> DataF
 def narrow_log(events: DataFrame) -> DataFrame:
     """The columns the time scans need, with time in whole microseconds.
 
-    Takes flat events (`account_id`) or the joined log (`user_id`).
+    Takes flat events (`account_id`), the joined log (`user_id`), or narrow rows again.
     """
     user = "user_id" if "user_id" in events.columns else "account_id"
+    if "t_us" in events.columns:
+        time = F.col("t_us")
+    else:
+        time = to_micros(F.col("time_since_test_start").cast("double")).alias("t_us")
     return events.select(
         F.col(user).alias("user_id"),
         "event",
         "offer_id",
-        to_micros(F.col("time_since_test_start").cast("double")).alias("t_us"),
+        time,
         *[c for c in ("amount", "offer_type") if c in events.columns],
     )

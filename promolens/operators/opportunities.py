@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,17 @@ from promolens.operators.scan import FROM, Running, ordered_scan
 
 OFFER_COLUMNS = ["offer_type", "duration", "min_value", "discount_value", "channels"]
 PROFILE_COLUMNS = ["age", "age_group", "gender", "credit_card_limit"]
+RESULT_COLUMNS = [
+    "user_id",
+    "offer_id",
+    *OFFER_COLUMNS,
+    "t_received",
+    "t_expires",
+    "t_viewed",
+    "t_completed",
+    "viewed",
+    "completed",
+]
 
 
 def next_responses(events: DataFrame, limits: Limits | None = None) -> DataFrame:
@@ -52,11 +65,12 @@ def next_responses(events: DataFrame, limits: Limits | None = None) -> DataFrame
     )
 
 
-def _within_window(receipts: DataFrame) -> DataFrame:
+def _within_window(receipts: DataFrame, last: Sequence[str] = ()) -> DataFrame:
     expires = F.col("t_us") + to_micros(F.col("duration").cast("double"))
     t_viewed = F.when(F.col("view_us") <= expires, to_days(F.col("view_us")))
     t_completed = F.when(F.col("completion_us") <= expires, to_days(F.col("completion_us")))
-    carried = [c for c in receipts.columns if c not in ("t_us", "view_us", "completion_us")]
+    times = ("t_us", "view_us", "completion_us")
+    carried = [c for c in receipts.columns if c not in (*times, *last)]
     return receipts.select(
         *carried,
         to_days(F.col("t_us")).alias("t_received"),
@@ -65,6 +79,7 @@ def _within_window(receipts: DataFrame) -> DataFrame:
         t_completed.alias("t_completed"),
         t_viewed.isNotNull().cast("int").alias("viewed"),
         t_completed.isNotNull().cast("int").alias("completed"),
+        *last,
     )
 
 
@@ -76,24 +91,33 @@ def opportunities_from_parts(
     Only narrow event rows go through the scan; attributes are joined to the receipts left
     after it, which is far less than joining them to the whole log first.
     """
+    return opportunities_of_receipts(next_responses(events, limits), offers, profile)
+
+
+def opportunities_of_receipts(
+    receipts: DataFrame, offers: DataFrame, profile: DataFrame, carried: Sequence[str] = ()
+) -> DataFrame:
+    """Opportunities from receipts (user_id, offer_id, t_us, view_us, completion_us), with the
+    columns `carried` of the receipts behind them."""
     o, p = offers.alias("o"), profile.alias("p")
-    received = (
-        next_responses(events, limits)
-        .join(o, F.col("offer_id") == F.col("o.id"), "left")
-        .select(
-            "user_id",
-            F.col("offer_id"),
-            *[F.col(f"o.{c}").alias(c) for c in OFFER_COLUMNS],
-            "t_us",
-            "view_us",
-            "completion_us",
-        )
+    received = receipts.join(o, F.col("offer_id") == F.col("o.id"), "left").select(
+        "user_id",
+        F.col("offer_id"),
+        *[F.col(f"o.{c}").alias(c) for c in OFFER_COLUMNS],
+        "t_us",
+        "view_us",
+        "completion_us",
+        *carried,
     )
     return (
-        _within_window(received)
+        _within_window(received, carried)
         .alias("r")
         .join(p, F.col("r.user_id") == F.col("p.id"), "left")
-        .select("r.*", *[F.col(f"p.{c}").alias(c) for c in PROFILE_COLUMNS])
+        .select(
+            *[F.col(f"r.{c}") for c in RESULT_COLUMNS],
+            *[F.col(f"p.{c}").alias(c) for c in PROFILE_COLUMNS],
+            *[F.col(f"r.{c}") for c in carried],
+        )
     )
 
 

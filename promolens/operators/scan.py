@@ -7,7 +7,7 @@ Only growing frames are used, so a key with n rows costs O(n) after its sort; a
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -17,19 +17,24 @@ from promolens.operators.layout import CELL, Layout
 # Frames: strictly before the row's order value (integers only), up to it, or from it on;
 # rows with an equal order value are inside the last two.
 BEFORE, UPTO, FROM = "before", "upto", "from"
+COPY = "_copy"
 
 _AGGREGATES = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
 @dataclass(frozen=True)
 class Running:
-    """A running `sum`, `min` or `max` of `value`; a sum's value must not be NULL."""
+    """A running `sum`, `min` or `max` of `value`; a sum's value must not be NULL.
+
+    `ago` moves the end of a sum's BEFORE frame back: it adds up the rows more than `ago` before.
+    """
 
     name: str
     how: str
     value: Column
     frame: str = BEFORE
     type: str | None = None
+    ago: int = 0
 
     def aggregate(self) -> Column:
         return _AGGREGATES[self.how](self.value)
@@ -48,13 +53,20 @@ class Running:
         return out.cast(self.type) if self.type else out
 
 
-def _frames(partition: WindowSpec, order: str) -> dict[str, WindowSpec]:
+def _over(running: Running, partition: WindowSpec, order: str) -> Column:
     first, current = Window.unboundedPreceding, Window.currentRow
-    return {
-        BEFORE: partition.orderBy(F.col(order).asc()).rangeBetween(first, -1),
+    frame = {
+        BEFORE: partition.orderBy(F.col(order).asc()).rangeBetween(first, -1 - running.ago),
         UPTO: partition.orderBy(F.col(order).asc()).rangeBetween(first, current),
         FROM: partition.orderBy(F.col(order).desc()).rangeBetween(first, current),
-    }
+    }[running.frame]
+    return running.aggregate().over(frame)
+
+
+def in_partition(running: Sequence[Running], keys: Sequence[str], order: str) -> list[Column]:
+    """The running aggregates over rows that lie together by `keys`: no row moves for them."""
+    partition = Window.partitionBy(*keys)
+    return [_over(r, partition, order).alias(r.name) for r in running]
 
 
 def ordered_scan(rows: DataFrame, running: Sequence[Running], layout: Layout) -> DataFrame:
@@ -62,19 +74,21 @@ def ordered_scan(rows: DataFrame, running: Sequence[Running], layout: Layout) ->
 
     Rows move once: by key, or by (key, cell) where the layout cuts hot keys. In that case the
     totals of the cells, at most some ten times `Limits.chunks` rows, are scanned over whole
-    cells and joined back by broadcast.
+    cells and joined back by broadcast. There, what a sum with `ago` leaves out lies in other
+    cells, so it adds up copies of the rows, placed `ago` later.
     """
     keys, order = list(layout.keys), layout.order
     if layout.single:
-        frames = _frames(Window.partitionBy(*keys), order)
-        return rows.select("*", *[r.aggregate().over(frames[r.frame]).alias(r.name) for r in running])
+        return rows.select("*", *in_partition(running, keys, order))
 
+    columns = rows.columns
+    moved = sorted({r.ago for r in running if r.ago})
+    if moved:
+        rows, running = _with_copies(rows, running, order, moved)
     # Named explicitly: rows that arrive partitioned by key alone must be spread again.
     placed = layout.assign(rows).repartition(*keys, CELL)
-    frames = _frames(Window.partitionBy(*keys, CELL), order)
-    inside = placed.select(
-        "*", *[r.aggregate().over(frames[r.frame]).alias(f"_in_{r.name}") for r in running]
-    )
+    partition = Window.partitionBy(*keys, CELL)
+    inside = placed.select("*", *[_over(r, partition, order).alias(f"_in_{r.name}") for r in running])
 
     totals = (
         layout.assign(rows, hot_only=True)
@@ -92,10 +106,29 @@ def ordered_scan(rows: DataFrame, running: Sequence[Running], layout: Layout) ->
             for r in running
         ],
     )
+    if moved:
+        inside = inside.where(F.col(COPY) == 0)
     return inside.join(F.broadcast(carried), [*keys, CELL], "left").select(
-        *rows.columns,
+        *columns,
         *[
             r.merge(F.col(f"_in_{r.name}"), F.col(f"_carry_{r.name}")).alias(r.name)
             for r in running
         ],
     )
+
+
+def _with_copies(
+    rows: DataFrame, running: Sequence[Running], order: str, moved: Sequence[int]
+) -> tuple[DataFrame, list[Running]]:
+    """The rows and, for each of `moved`, copies of them that much later; a sum takes the values
+    of its own copies only."""
+    copies = F.explode(F.array(*[F.lit(a).cast("bigint") for a in (0, *moved)]))
+    copied = rows.select("*", copies.alias(COPY)).withColumn(order, F.col(order) + F.col(COPY))
+
+    def own(r: Running) -> Running:
+        value = F.when(F.col(COPY) == r.ago, r.value)
+        if r.how == "sum":
+            value = F.coalesce(value, F.lit(0))
+        return replace(r, value=value.cast(r.type) if r.type else value, ago=0)
+
+    return copied, [own(r) for r in running]

@@ -6,9 +6,20 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from promolens.operators import eventlog, features, opportunities
+from promolens.operators import eventlog, features, opportunities, timeline
 from promolens.operators.layout import Limits
-from promolens.sources import read_table, testdata, write_tables
+from promolens.sources import Clustering, read_table, testdata, write_tables
+
+#: What `Campaign.store` writes.
+TABLES = [
+    "offers_processed",
+    "transactions_processed",
+    "profile_processed",
+    "events_by_customer",
+    "events_apart",
+    "event_log",
+    "opportunities",
+]
 
 
 class Campaign:
@@ -52,52 +63,71 @@ class Campaign:
     def log(self) -> DataFrame:
         return eventlog.event_log(self.events, self.profile, self.offers)
 
+    @cached_property
+    def clustered(self) -> timeline.Clustered:
+        """The narrow events by customer: dealt once, or read from a clustered table."""
+        return timeline.clustered(self.events, self.limits)
+
+    @cached_property
+    def receipts(self) -> DataFrame:
+        return timeline.receipts(self.clustered, limits=self.limits)
+
     @cached_property
     def opportunities(self) -> DataFrame:
-        return opportunities.opportunities_from_parts(
-            self.events, self.offers, self.profile, self.limits
-        )
+        return opportunities.opportunities_of_receipts(self.receipts, self.offers, self.profile)
 
     def opportunities_with_band(self, rel_error: float = 0.01) -> DataFrame:
         return opportunities.with_limit_band(self.opportunities, rel_error, self.limits)
 
-    @cached_property
-    def typed_events(self) -> DataFrame:
-        """Flat events with the type of their offer: all the history needs of the log."""
-        types = self.offers.selectExpr("id as offer_id", "offer_type")
-        return self.events.join(types, "offer_id", "left")
-
     @cached_property
     def registrations(self) -> DataFrame:
         return features.active_registrations(self.profile, self.events)
 
     @cached_property
     def abt(self) -> DataFrame:
-        return features.build_abt(
-            self.typed_events,
-            self.opportunities,
-            registrations=self.registrations,
-            limits=self.limits,
+        carried = timeline.history_names()
+        opps = opportunities.opportunities_of_receipts(
+            self.receipts, self.offers, self.profile, carried
+        )
+        return features.abt_of_opportunities(
+            opps, self.offers, self.profile, self.registrations, carried
         )
 
-    def store(self, path: str | None = None, suffix: str = "") -> Campaign:
-        """Write the five tables the analysis hands on to the catalog; returns the campaign that
-        reads them.
+    def store(self, path: str | None = None, suffix: str = "", buckets: int = 200) -> Campaign:
+        """Write the tables the analysis hands on to the catalog; returns the campaign that reads
+        them.
 
         The inputs are parsed and cleaned once: the log and the opportunities are computed from
-        the stored tables, not from the raw files again.
+        the stored tables, not from the raw files again. The narrow events are stored by customer,
+        so that responses and history need no shuffle of events any more; those of customers too
+        busy for one task lie in a table of their own.
         """
         spark = self.offers.sparkSession
-        first = {
-            f"offers_processed{suffix}": self.offers,
-            f"transactions_processed{suffix}": self.events,
-            f"profile_processed{suffix}": self.profile,
-        }
-        write_tables(first, path)
-        offers, events, profile = (read_table(spark, name) for name in first)
+        name = {t: f"{t}{suffix}" for t in TABLES}
+        write_tables(
+            {
+                name["offers_processed"]: self.offers,
+                name["transactions_processed"]: self.events,
+                name["profile_processed"]: self.profile,
+            },
+            path,
+        )
+        offers, events, profile = (read_table(spark, name[t]) for t in TABLES[:3])
         stored = Campaign(offers, profile, events, self.limits.at_most)
-        write_tables({f"event_log{suffix}": stored.log}, path)
-        write_tables({f"opportunities{suffix}": stored.opportunities_with_band()}, path)
-        stored.log = read_table(spark, f"event_log{suffix}")
-        stored.opportunities = read_table(spark, f"opportunities{suffix}")
+        stored.limits = self.limits
+        parts = timeline.split_busy(events, self.limits)
+        by_customer = Clustering((timeline.USER,), ("t_us",), buckets)
+        write_tables(
+            {name["events_by_customer"]: parts.together}, path, {name["events_by_customer"]: by_customer}
+        )
+        if parts.apart is not None:
+            write_tables({name["events_apart"]: parts.apart}, path)
+        stored.clustered = timeline.Clustered(
+            read_table(spark, name["events_by_customer"]),
+            None if parts.apart is None else read_table(spark, name["events_apart"]),
+        )
+        write_tables({name["event_log"]: stored.log}, path)
+        write_tables({name["opportunities"]: stored.opportunities_with_band()}, path)
+        stored.log = read_table(spark, name["event_log"])
+        stored.opportunities = read_table(spark, name["opportunities"])
         return stored

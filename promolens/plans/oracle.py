@@ -714,7 +714,7 @@ def oracle_sql() -> dict[str, str]:
         "abt",
         f"SELECT {_abt_columns(whole)}, array_to_string(offer_channels, ',') AS offer_channels FROM abt",
     )
-    q["abt_of_log"] = q["abt"]
+    q["abt_of_log"] = q["abt_clustered"] = q["abt_clustered_cells"] = q["abt"]
     q["abt_columns"] = _with(
         "abt",
         " UNION ALL ".join(

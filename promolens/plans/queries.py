@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,8 @@ from promolens.operators import (
     segments,
 )
 from promolens.operators.layout import Limits
-from promolens.plans.campaign import Campaign
-from promolens.sources import OFFER_SCHEMA, read_json, scratch_dir, testdata
+from promolens.plans.campaign import TABLES, Campaign
+from promolens.sources import OFFER_SCHEMA, drop_tables, read_json, scratch_dir, testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,20 +109,49 @@ def scan_json_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_channels(read_json(spark, path, OFFER_SCHEMA))
 
 
+@contextmanager
+def _stored(spark: SparkSession, sf_dir: str, limits: Limits | None = None) -> Iterator[Campaign]:
+    """The campaign's tables in the catalog, which are dropped again."""
+    base = scratch_dir(spark)
+    suffix = f"_{base[-8:]}"
+    campaign = Campaign.of_testdata(spark, sf_dir)
+    campaign.limits = limits or campaign.limits
+    try:
+        yield campaign.store(base, suffix, buckets=8)
+    finally:
+        drop_tables(spark, [f"{t}{suffix}" for t in TABLES])
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """`df` in a file of its own, for use when the tables it reads are gone."""
+    path = scratch_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the campaign's tables to the catalog, read them back, count."""
-    base = scratch_dir(spark)
-    stored = Campaign.of_testdata(spark, sf_dir).store(base, f"_{base[-8:]}")
-    return _counts(
-        {
+    with _stored(spark, sf_dir) as stored:
+        counts = {
             "offers_processed": stored.offers,
             "transactions_processed": stored.transactions,
             "profile_processed": stored.profile_raw,
             "event_log": stored.log,
             "opportunities": stored.opportunities,
-        },
-        "n",
-    )
+        }
+        return _kept(_counts(counts, "n"))
+
+
+def abt_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The modelling table from the stored events by customer, without a shuffle of events."""
+    with _stored(spark, sf_dir) as stored:
+        return _kept(rounded(_text_channels(stored.abt, "offer_channels")))
+
+
+def abt_clustered_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the busier customers in the table of their own."""
+    with _stored(spark, sf_dir, CELLS) as stored:
+        return _kept(rounded(_text_channels(stored.abt, "offer_channels")))
 
 
 def row_counts(c: Campaign) -> DataFrame:
@@ -466,6 +496,8 @@ def queries() -> dict[str, Query]:
         "abt": abt_query,
         "abt_of_log": abt_of_log,
         "abt_cells": abt_cells,
+        "abt_clustered": abt_clustered,
+        "abt_clustered_cells": abt_clustered_cells,
         "abt_columns": _campaign(abt_columns),
         "abt_grain": _on("abt", lambda df: quality.key_check(df, features.KEYS)),
         "class_balance": _on("abt", lambda df: quality.distinct_counts(df, "target")),

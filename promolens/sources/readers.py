@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+VERSION = "__v"
+
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Line-mode JSON scan; malformed records become NULL rows (PERMISSIVE), no inference job.
@@ -35,13 +39,69 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{folder}/{name}"
 
 
-def write_tables(tables: Mapping[str, DataFrame], path: str | None = None) -> None:
-    """Overwrite each named catalog table, its schema included.
+@dataclass(frozen=True)
+class Clustering:
+    """Rows of equal `keys` in one bucket, each bucket sorted by `keys` and `order`.
 
-    With `path`, tables are external ones below that folder; without, the catalog places them.
+    A scan of such a table gives its rows by key without a shuffle. A key whose rows no task can
+    hold does not belong into it.
     """
+
+    keys: tuple[str, ...]
+    order: tuple[str, ...] = ()
+    buckets: int = 200
+
+
+def write_tables(
+    tables: Mapping[str, DataFrame],
+    path: str | None = None,
+    clustering: Mapping[str, Clustering] | None = None,
+) -> None:
+    """Replace each named catalog table, its schema included; see `replace_table`."""
     for name, df in tables.items():
-        writer = df.write.mode("overwrite").option("overwriteSchema", "true")
-        if path:
-            writer = writer.option("path", f"{path}/{name}")
-        writer.saveAsTable(name)
+        replace_table(name, df, path, (clustering or {}).get(name))
+
+
+def replace_table(
+    name: str, df: DataFrame, path: str | None = None, clustering: Clustering | None = None
+) -> None:
+    """Write `df` as a new version of `name`, then point `name` to it.
+
+    `name` is a view of its newest version, and moving it is one step of the catalog: a reader
+    sees all old rows or all new ones, and a write that fails leaves the old ones. The version
+    before stays for readers that have begun with it; older ones are dropped. With `path`, versions
+    are external tables below that folder; without, the catalog places them.
+    """
+    spark = df.sparkSession
+    version = f"{name}{VERSION}{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    if clustering:
+        keys, order = clustering.keys, clustering.order
+        # One task writes one bucket, as one sorted file.
+        df = df.repartition(clustering.buckets, *keys).sortWithinPartitions(*keys, *order)
+        writer = df.write.bucketBy(clustering.buckets, *keys).sortBy(*keys, *order)
+    else:
+        writer = df.write
+    if path:
+        writer = writer.option("path", f"{path}/{name}/{version}")
+    writer.saveAsTable(version)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        # A table written by other means becomes the first version.
+        spark.sql(f"ALTER TABLE `{name}` RENAME TO `{name}{VERSION}{0:020d}`")
+    spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM `{version}`")
+    for old in table_versions(spark, name)[:-2]:
+        spark.sql(f"DROP TABLE IF EXISTS `{old}`")
+
+
+def table_versions(spark: SparkSession, name: str) -> list[str]:
+    """Names of the stored versions of a table, oldest first."""
+    # The catalog's pattern takes * alone as special; names are matched in lower case.
+    found = spark.catalog.listTables(pattern=f"{name}{VERSION}*")
+    return sorted(t.name for t in found)
+
+
+def drop_tables(spark: SparkSession, names: Iterable[str]) -> None:
+    """Drop tables with all their versions. Files of external ones stay."""
+    for name in names:
+        spark.sql(f"DROP VIEW IF EXISTS `{name}`")
+        for version in table_versions(spark, name):
+            spark.sql(f"DROP TABLE IF EXISTS `{version}`")

@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as contract
 from promolens.operators import evaluation, segments
 from promolens.operators.layout import Limits
+from promolens.plans import queries
 from promolens.plans.campaign import Campaign
 from promolens.sources import testdata
 
@@ -33,11 +34,26 @@ def test_scan_reads_only_what_it_needs(spark, sf_dir):
 
 
 def test_shuffles_of_the_modelling_table(spark, sf_dir):
+    """Events move once, by customer; from the clustered table they do not move at all."""
     text = plan(Campaign.of_testdata(spark, sf_dir).abt)
-    # Two scans of two (fold by instant, then by key); three small ones for the registration
-    # dates, planned twice and reused when run: for the rows and for the newest date.
-    assert len(re.findall(r"Exchange hashpartitioning", text)) == 2 * 2 + 2 * 3
+    by_customer = r"Exchange hashpartitioning\(user_id"
+    assert len(re.findall(by_customer, text)) == 1
+    # The rest is of customers: dates of profiles, their first orders, the customers with an event.
+    of_customers = re.findall(r"Exchange hashpartitioning\((\w+)#", text)
+    assert set(of_customers) == {"user_id", "id", "o_custkey"}
     assert "SortAggregate" not in text
+    with queries._stored(spark, sf_dir) as stored:
+        text = plan(stored.abt)
+    assert not re.findall(by_customer, text)
+    assert "events_by_customer" in text
+    assert set(re.findall(r"Exchange hashpartitioning\((\w+)#", text)) == {"id"}
+
+
+def test_every_campaign_table_but_one_comes_without_the_history(spark, sf_dir):
+    """Opportunities share the receipts, whose unused windows are pruned."""
+    text = plan(Campaign.of_testdata(spark, sf_dir).opportunities)
+    assert len(re.findall(r"Exchange hashpartitioning\(user_id", text)) == 1
+    assert len(re.findall(r"- Window ", text)) == 1
 
 
 def test_layout_names_no_broadcast_of_a_dimension(spark, sf_dir):

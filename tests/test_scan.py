@@ -30,6 +30,8 @@ def running():
         Running("max_before", "max", F.col("v"), BEFORE),
         Running("sum_upto", "sum", known, UPTO),
         Running("min_from", "min", F.col("v"), FROM),
+        Running("sum_ago", "sum", known, BEFORE, ago=7),
+        Running("sum_long_ago", "sum", known, BEFORE, "bigint", ago=300),
     ]
 
 
@@ -44,11 +46,13 @@ def brute_force(rows):
         before = [v for x, v in by_key[key] if x is not None and x < t]
         upto = [v for x, v in by_key[key] if x is not None and x <= t]
         later = [v for x, v in by_key[key] if x is not None and x >= t]
+        earlier = [[v for x, v in by_key[key] if x is not None and x < t - d] for d in (7, 300)]
         out[i] = (
             sum(before) if before else None,
             max(before, default=None),
             sum(upto),
             min(later),
+            *(sum(ago) if ago else None for ago in earlier),
         )
     return out
 
@@ -59,10 +63,14 @@ def test_against_brute_force(spark, limits):
     df = spark.createDataFrame(rows, "id int, k string, t bigint, v int")
     placed = df.where("t is not null")
     got = ordered_scan(placed, running(), Layout.of(placed, ["k"], "t", limits))
+    # Cells before add nothing, one cell has nothing before: both are no earlier rows.
+    ago = ("sum_ago", "sum_long_ago")
     result = {
-        r["id"]: tuple(r[x.name] for x in running()) for r in got.where("k is not null").collect()
+        r["id"]: tuple(r[x.name] or None if x.name in ago else r[x.name] for x in running())
+        for r in got.where("k is not null").collect()
     }
-    assert result == brute_force(rows)
+    expected = {i: (*v[:-2], v[-2] or None, v[-1] or None) for i, v in brute_force(rows).items()}
+    assert result == expected
 
 
 def test_hot_key_is_cut_and_cold_keys_are_not(spark):
