@@ -266,7 +266,7 @@ def correlation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_box_query(c: Campaign) -> DataFrame:
     abt = c.abt
-    return correlation.feature_box_by_target(abt, features.column_roles(abt)[0], limits=c.limits)
+    return correlation.feature_box_by_target(abt, features.column_roles(abt)[0])
 
 
 def split_query(c: Campaign) -> DataFrame:
