@@ -13,14 +13,15 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions.columns import dice, ratio
 from promolens.operators.evaluation import evaluation_report, model_quality
+from promolens.operators.groups import in_share, with_balanced_fold
 from promolens.operators.layout import Layout, Limits
 from promolens.operators.policy import best_threshold
+from promolens.operators.pooling import calibrated, isotonic_blocks
 from promolens.operators.ranking import ALL
 from promolens.operators.scan import FROM, UPTO, Running, ordered_scan
 
@@ -69,11 +70,14 @@ def split_last_event(
 
 
 def with_calibration_flag(
-    train: DataFrame, fraction: float = 0.2, id_col: str = "customer_id", seed: int = 42
+    train: DataFrame,
+    fraction: float = 0.2,
+    id_col: str = "customer_id",
+    seed: int = 42,
+    limits: Limits | None = None,
 ) -> DataFrame:
-    """Add `calibration`: whole customers, a seeded `fraction` of them by hash."""
-    mark = _customer_hash(id_col, seed, 10_000) < F.lit(round(fraction * 10_000))
-    return train.withColumn("calibration", mark)
+    """Add `calibration`: whole customers, ceil(fraction * customers) of them by a seeded hash."""
+    return train.withColumn("calibration", in_share(train, fraction, id_col, seed, limits))
 
 
 def with_fold(
@@ -151,17 +155,19 @@ def draw_params(
     return draws
 
 
-def isotonic(calibration: DataFrame, target: str = "target") -> IsotonicRegressionModel:
-    """Fit on (`raw_score`, target); clamps outside the range it saw. Rows of one score are
-    folded to their mean and weight first."""
-    folded = calibration.groupBy("raw_score").agg(
-        F.avg(F.col(target).cast("double")).alias(target),
-        F.count(F.lit(1)).cast("double").alias("weight"),
-    )
-    learner = IsotonicRegression(
-        featuresCol="raw_score", labelCol=target, predictionCol="calibrated", weightCol="weight"
-    )
-    return learner.fit(folded)
+@dataclass(frozen=True)
+class IsotonicModel:
+    """A non-decreasing step function of `raw_score`, linear between its steps."""
+
+    blocks: DataFrame
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return calibrated(df, self.blocks, "raw_score")
+
+
+def isotonic(calibration: DataFrame, target: str = "target") -> IsotonicModel:
+    """Fit on (`raw_score`, target); clamps outside the range it saw."""
+    return IsotonicModel(isotonic_blocks(calibration, "raw_score", target))
 
 
 @dataclass(frozen=True)
@@ -169,7 +175,7 @@ class PropensityModel:
     numerical: list[str]
     categorical: list[str]
     pipeline: PipelineModel
-    calibrator: IsotonicRegressionModel | None = None
+    calibrator: IsotonicModel | None = None
 
     def raw_scores(self, df: DataFrame) -> DataFrame:
         """`df` with the uncalibrated `raw_score`; every row and column stays."""
@@ -189,20 +195,24 @@ class PropensityModel:
         chosen = F.col("score") >= F.lit(float(threshold))
         return self.predict_proba(df).withColumn("prediction", chosen.cast("int"))
 
-    def gain_importance(self) -> dict[str, float]:
-        """Split gains of the trees, summed per input column, largest first."""
-        trees = self.pipeline.stages[-1]
-        sizes = [1] * (2 * len(self.numerical))
+    @property
+    def inputs(self) -> list[str]:
+        return [*self.numerical, *self.categorical]
+
+    def feature_owners(self) -> list[str]:
+        """The input column each place of the feature vector comes from."""
         owners = [*self.numerical, *self.numerical]
         if self.categorical:
-            labels = self.pipeline.stages[0].labelsArray
-            owners += list(self.categorical)
-            sizes += [len(values) for values in labels]
-        gains, at = dict.fromkeys([*self.numerical, *self.categorical], 0.0), 0
-        values = trees.featureImportances.toArray()
-        for owner, size in zip(owners, sizes):
-            gains[owner] += float(values[at : at + size].sum())
-            at += size
+            for name, labels in zip(self.categorical, self.pipeline.stages[0].labelsArray):
+                owners += [name] * len(labels)
+        return owners
+
+    def gain_importance(self) -> dict[str, float]:
+        """Split gains of the trees, summed per input column, largest first."""
+        gains = dict.fromkeys(self.inputs, 0.0)
+        values = self.pipeline.stages[-1].featureImportances.toArray()
+        for owner, value in zip(self.feature_owners(), values):
+            gains[owner] += float(value)
         return dict(sorted(gains.items(), key=lambda kv: (-kv[1], kv[0])))
 
 
@@ -254,7 +264,9 @@ class PropensityTrainer:
     def split(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(train, calibration, test); train and calibration share no customer."""
         train, test = split_last_event(self.df, self.id_col, self.time_col)
-        flagged = with_calibration_flag(train, id_col=self.id_col, seed=self.seed)
+        flagged = with_calibration_flag(
+            train, id_col=self.id_col, seed=self.seed, limits=self.limits
+        )
         held = F.col("calibration")
         return flagged.where(~held).drop("calibration"), flagged.where(held).drop(
             "calibration"
@@ -286,7 +298,8 @@ class PropensityTrainer:
         draws = draw_params(self.n_trials, self.space, self.seed)
         metric = AveragePrecision(self.target, self.limits)
         folded = numeric_inputs(
-            with_fold(train, self.n_folds, self.id_col, self.seed), self.numerical
+            with_balanced_fold(train, self.n_folds, self.id_col, self.seed + 1, self.limits),
+            self.numerical,
         )
         totals = [0.0] * len(draws)
         for fold in range(self.n_folds):
@@ -334,14 +347,14 @@ class PropensityTrainer:
 
 
 def baseline_scores(
-    train: DataFrame, test: DataFrame, keys: Sequence[str], seed: int = 42
+    train: DataFrame, test: DataFrame, keys: Sequence[str | Column], seed: int = 42
 ) -> DataFrame:
     """Test rows with scores drawn 0/1 at the training base rate: the floor for any model.
 
     The draw is a hash of the row's key, so that a recomputed task draws the same.
     """
     base_rate = train.agg(ratio(F.sum("target"), F.count(F.lit(1)))).scalar()
-    draw = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1_000_000)) / F.lit(1e6)
+    draw = dice(*keys, seed=seed) / F.lit(1e6)
     return test.withColumn("score", F.when(draw < base_rate, 1.0).otherwise(0.0))
 
 

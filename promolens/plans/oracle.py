@@ -233,6 +233,31 @@ def _dice(key: str, seed: int, sides: int) -> str:
     return f"CAST(concat('0x', {digits}) AS BIGINT) % {sides}"
 
 
+def _number(key: str, seed: int) -> str:
+    return f"CAST(concat('0x', left(md5(concat({key}, ':{seed}')), 13)) AS BIGINT)"
+
+
+def _balanced_folds() -> str:
+    """Customer by customer, largest first, each to the lightest fold."""
+    loads = [f"l{k}" for k in range(5)]
+    least = f"least({', '.join(loads)})"
+    fold = " ".join(f"WHEN {least} = l{k} THEN {k}" for k in range(5))
+    fold = f"CASE {fold} END"
+    moved = ", ".join(f"l{k} + CASE WHEN {fold} = {k} THEN size ELSE 0 END" for k in range(5))
+    body = f"""sizes AS (SELECT customer_id, count(*) AS size FROM abt GROUP BY 1
+    ), ordered AS (
+      SELECT customer_id, size, row_number() OVER (ORDER BY size DESC, customer_id) AS i FROM sizes
+    ), dealt(i, fold, size, {", ".join(loads)}) AS (
+      SELECT CAST(0 AS BIGINT), -1, CAST(0 AS BIGINT), {", ".join("CAST(0 AS BIGINT)" for _ in loads)}
+      UNION ALL
+      SELECT o.i, {fold}, o.size, {moved.replace("THEN size", "THEN o.size")}
+      FROM dealt d JOIN ordered o ON o.i = d.i + 1
+    )
+    SELECT CAST(fold AS INTEGER) AS fold, CAST(sum(size) AS BIGINT) AS n, count(*) AS n_customers
+    FROM dealt WHERE i > 0 GROUP BY 1"""
+    return "WITH RECURSIVE " + ",".join(_LAYERS["abt"]) + ", " + body
+
+
 def _abt_columns(names: list[str]) -> str:
     text = {*CATEGORICAL, "customer_id", "offer_id", "target", "time_received", "time_expires",
             *_WHOLE}
@@ -901,8 +926,49 @@ def oracle_sql() -> dict[str, str]:
     # draws
     q["split_calibration"] = _with(
         "abt",
-        f"""{split} SELECT {_dice("customer_id", 42, 10_000)} < 2000 AS calibration, count(*) AS n,
-      count(DISTINCT customer_id) AS n_customers FROM s WHERE time_received < max_time GROUP BY 1""",
+        f"""{split}, train AS (SELECT * FROM s WHERE time_received < max_time), numbers AS (
+      SELECT DISTINCT customer_id, {_number("customer_id", 42)} AS number FROM train
+    ), ranked AS (
+      SELECT customer_id, row_number() OVER (ORDER BY number) AS place, count(*) OVER () AS total
+      FROM numbers
+    )
+    SELECT place <= ceil(total * CAST(0.2 AS DOUBLE)) AS calibration, count(*) AS n,
+      count(DISTINCT customer_id) AS n_customers FROM train JOIN ranked USING (customer_id) GROUP BY 1""",
+    )
+    q["cv_folds_balanced"] = _balanced_folds()
+    q["baseline_scores"] = _with(
+        "abt",
+        f"""{split}, rate AS (
+      SELECT CAST(sum(target) AS DOUBLE) / count(*) AS base FROM s WHERE time_received < max_time)
+    SELECT customer_id, offer_id, time_received, target, CASE WHEN {_dice(
+        "concat(customer_id, ':', offer_id, ':', "
+        "CAST(CAST(round(time_received * 86400000000) AS BIGINT) AS VARCHAR))", 42, 1_000_000
+    )} / CAST(1000000 AS DOUBLE) < base THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS score
+    FROM s, rate WHERE time_received = max_time""",
+    )
+    q["features_vector"] = _with(
+        "abt",
+        f"""SELECT customer_id, offer_id, time_received, CAST({2 * len(NUMERIC)} + {" + ".join(
+        f"(SELECT count(DISTINCT {c}) FROM abt)" for c in CATEGORICAL)} AS INTEGER) AS n_features,
+      {_r(" + ".join(
+        [f"coalesce(CAST({c} AS DOUBLE), -1) + CAST({c} IS NULL AS INTEGER)" for c in NUMERIC]
+        + [f"CAST({c} IS NOT NULL AS INTEGER)" for c in CATEGORICAL]), "feature_sum")} FROM abt""",
+    )
+    q["isotonic_fit"] = _with(
+        "scored",
+        f""", folded AS (
+      SELECT score, row_number() OVER (ORDER BY score) AS i, count(*) AS w, sum(y) AS t
+      FROM scored GROUP BY score
+    ), sums AS (
+      SELECT score, i, sum(w) OVER (ORDER BY i) AS cw, sum(t) OVER (ORDER BY i) AS ct, w, t FROM folded
+    ), means AS (
+      SELECT a.i AS a, b.i AS b,
+        CAST(b.ct - a.ct + a.t AS DOUBLE) / CAST(b.cw - a.cw + a.w AS DOUBLE) AS mean
+      FROM sums a JOIN sums b ON b.i >= a.i
+    ), least AS (
+      SELECT a, b, min(mean) OVER (PARTITION BY a ORDER BY b DESC) AS m FROM means
+    )
+    SELECT score, {_r("max(m)", "calibrated")} FROM least JOIN sums ON i = b GROUP BY score""",
     )
     q["cv_folds"] = _with(
         "abt",

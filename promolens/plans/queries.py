@@ -9,14 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from promolens.functions.columns import to_micros
 from promolens.functions.domains import AGE_BANDS, GENDERS
 from promolens.operators import (
+    attribution,
     correlation,
     evaluation,
     features,
+    groups,
     modeling,
     opportunities,
     policy,
+    pooling,
     quality,
     segments,
 )
@@ -317,6 +321,14 @@ def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cv_folds_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    abt = _stored_abt(spark, sf_dir)
+    folded = groups.with_balanced_fold(abt, 5, "customer_id", 43, Limits(at_most=abt.count()))
+    return folded.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("customer_id").alias("n_customers")
+    )
+
+
 def features_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     trainer = _trainer(spark, sf_dir)
     stages = modeling.feature_stages(trainer.numerical, trainer.categorical)
@@ -379,7 +391,9 @@ def model_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def baseline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = modeling.split_last_event(_stored_abt(spark, sf_dir))
-    return modeling.baseline_scores(train, test, features.KEYS).select(*features.KEYS, "target", "score")
+    micros = to_micros(F.col("time_received")).cast("string")
+    scored = modeling.baseline_scores(train, test, ["customer_id", "offer_id", micros])
+    return scored.select(*features.KEYS, "target", "score")
 
 
 def permutation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,6 +403,23 @@ def permutation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def attribution_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and direction of every input in the fitted model, over all test rows."""
+    trainer, test = _fitted(spark, sf_dir)
+    return attribution.attribution_summary(trainer.model, test)
+
+
+def attribution_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five strongest inputs of every test row."""
+    trainer, test = _fitted(spark, sf_dir)
+    return attribution.reasons(trainer.model, test, features.KEYS)
+
+
+def isotonic_fit(scored: DataFrame, limits: Limits) -> DataFrame:
+    blocks = pooling.isotonic_blocks(scored, "score", "y")
+    return pooling.calibrated(scored.select("score").distinct(), blocks, "score")
+
+
 KS = [100, 1_000, 2_000, 5_000, 10_000, 16_994]
 
 
@@ -509,6 +540,7 @@ def queries() -> dict[str, Query]:
         # models
         "split_calibration": split_calibration,
         "cv_folds": cv_folds,
+        "cv_folds_balanced": cv_folds_balanced,
         "features_vector": features_vector,
         "train_gbt": train_gbt,
         "tune_gbt": tune_gbt,
@@ -518,6 +550,9 @@ def queries() -> dict[str, Query]:
         "model_threshold": model_threshold,
         "baseline_scores": baseline_query,
         "permutation_importance": permutation_query,
+        "attribution_summary": attribution_summary,
+        "attribution_reasons": attribution_reasons,
+        "isotonic_fit": _scored(isotonic_fit),
         # evaluation
         "model_quality": _scored(lambda df, n: e.model_quality(df, n)),
         "roc_curve": _scored(lambda df, n: e.roc_curve(df, n)),
