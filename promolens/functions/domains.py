@@ -13,6 +13,9 @@ VIEWED = "offer viewed"
 COMPLETED = "offer completed"
 PURCHASE = "transaction"
 
+# Names of customers by whether they complete any offer.
+USER_TYPES = {0: "Does Not Use Offers", 1: "Uses Offers"}
+
 # Category domains in presentation order.
 OFFER_TYPES = ["bogo", "discount", "informational"]
 AGE_BANDS = ["18-24", "25-34", "35-44", "45-54", "55-64", "65+", "Unknown"]

@@ -486,11 +486,11 @@ def queries() -> dict[str, Query]:
         "type_without_view": _on("opportunities", s.type_without_view),
         # spending
         "tx_value_summary": _campaign(lambda c: s.tx_value_summary(c.events, 0, c.limits)),
-        "tx_value_sketch": _on("events", s.tx_value_summary),
-        "tx_log_histogram": _on("events", s.tx_log_histogram),
+        "tx_value_sketch": _campaign(lambda c: s.tx_value_summary(c.events, limits=c.limits)),
+        "tx_log_histogram": _campaign(lambda c: s.tx_log_histogram(c.events, limits=c.limits)),
         "tx_value_box": _campaign(lambda c: s.tx_value_box(c.events, c.limits)),
         "tx_value_box_cells": tx_value_box_cells,
-        "sample_tx": _on("events", s.tx_sample),
+        "sample_tx": _campaign(lambda c: s.tx_sample(c.events, limits=c.limits)),
         # time
         "conversion_over_time": _on("opportunities", s.conversion_over_time),
         "engagement_by_week": _on("log", lambda df: s.engagement_by_week(df, "gender")),
