@@ -84,13 +84,21 @@ class Campaign:
         return features.active_registrations(self.profile, self.events)
 
     @cached_property
-    def abt(self) -> DataFrame:
-        carried = timeline.history_names()
-        opps = opportunities.opportunities_of_receipts(
-            self.receipts, self.offers, self.profile, carried
+    def opportunities_with_history(self) -> DataFrame:
+        """Opportunities with the running history of their customer; only what is used of it is
+        computed."""
+        return opportunities.opportunities_of_receipts(
+            self.receipts, self.offers, self.profile, timeline.history_names()
         )
+
+    @cached_property
+    def abt(self) -> DataFrame:
         return features.abt_of_opportunities(
-            opps, self.offers, self.profile, self.registrations, carried
+            self.opportunities_with_history,
+            self.offers,
+            self.profile,
+            self.registrations,
+            timeline.history_names(),
         )
 
     def store(self, path: str | None = None, suffix: str = "", buckets: int = 200) -> Campaign:

@@ -988,6 +988,7 @@ def oracle_sql() -> dict[str, str]:
         _TX + f"""SELECT user_id, {_r("amount", "amount")}, uses_offers, user_type FROM tx
     WHERE {_dice(cents, 42, 1_000_000)} < 300000""",
     )
+    q["recency_of_log"] = q["recency_conversion"]
     # the same answers with hot keys cut into cells
     for name in ("opportunities", "abt", "tx_value_box", "gains_lift_rows", "decile_table"):
         q[f"{name}_cells"] = q[name]

@@ -499,7 +499,8 @@ def queries() -> dict[str, Query]:
             lambda c: s.registration_cohort(c.events, c.opportunities, c.registrations)
         ),
         # signals
-        "recency_conversion": _campaign(
+        "recency_conversion": _on("opportunities_with_history", s.recency_of_history),
+        "recency_of_log": _campaign(
             lambda c: s.recency_conversion(c.events, c.opportunities, c.limits)
         ),
         "registration_quartile": _campaign(
