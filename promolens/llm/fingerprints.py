@@ -8,8 +8,9 @@ gives that digest, which is then taken out of its other cells, until nothing is
 of recovered digests give the likeness of the versions, without comparing texts.
 
 If a difference is too large to peel, the sketches are built again larger and with other places:
-the digests are first dealt to stripes, twice as many each time, with a sketch per stripe. The
-work is so in proportion to the paragraphs, however long a text is.
+the digests are first dealt to stripes of a few, with a sketch per stripe, and only the digests of
+stripes that fail go on to the next attempt. But for one sort the work is so in proportion to the
+paragraphs, however long a text is.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ ROWS = 3
 CELLS = 12  # cells of a row
 PER_STRIPE = 8  # digests of both versions that a stripe should get at most, on average
 ROUNDS = 12  # peeling rounds of a stripe
-RETRIES = 8  # larger sketches tried before the digests themselves are compared
+ATTEMPTS = 40  # each in other cells; a stripe that fails all of them has no chance to exist
 
 #: A line, or of a long line at least 200 characters up to the end of a sentence.
 PARAGRAPH = r"[^\n]{200,}?[.!?](?=\s|$)|[^\n]+"
@@ -49,15 +50,15 @@ def _xor(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a.bitwiseXOR(v))
 
 
-def _placed(digest: Column, sign: Column, stripes: Column) -> Column:
-    """A digest with its check and its cells; another number of stripes gives other cells."""
+def _placed(digest: Column, sign: Column, seed: Column) -> Column:
+    """A digest with its check and its cells; another seed gives other cells."""
     return F.struct(
         digest.alias("digest"),
         sign.alias("sign"),
         _check(digest).alias("check"),
         F.array(
             *(
-                F.pmod(F.xxhash64(digest, F.lit(row), stripes), F.lit(CELLS)).cast("int")
+                F.pmod(F.xxhash64(digest, F.lit(row), seed), F.lit(CELLS)).cast("int")
                 for row in range(ROWS)
             )
         ).alias("at"),
@@ -78,10 +79,10 @@ def _sum(inside: Column) -> Column:
     )
 
 
-def sketch(found: Column, stripes: Column) -> Column:
+def sketch(found: Column, seed: Column) -> Column:
     """The cells of these digests, row after row."""
     return _let(
-        F.transform(found, lambda d: _placed(d, F.lit(1), stripes)),
+        F.transform(found, lambda d: _placed(d, F.lit(1), seed)),
         lambda placed: F.transform(
             F.sequence(F.lit(0), F.lit(ROWS * CELLS - 1)), lambda i: _sum(_in_cell(placed, i))
         ),
@@ -100,7 +101,7 @@ def subtract(left: Column, right: Column) -> Column:
     return F.zip_with(left, right, _minus)
 
 
-def peel(difference: Column, stripes: Column) -> Column:
+def peel(difference: Column, seed: Column) -> Column:
     """ok, and how many digests only the left and only the right version has."""
 
     def step(state: Column, _: Column) -> Column:
@@ -108,7 +109,7 @@ def peel(difference: Column, stripes: Column) -> Column:
             state.cells, lambda c: (F.abs(c.n) == 1) & (_check(c.digest) == c.check)
         )
         keys = F.transform(
-            F.array_distinct(pure), lambda c: _placed(c.digest, c.n, stripes)
+            F.array_distinct(pure), lambda c: _placed(c.digest, c.n, seed)
         )
         taken = _let(
             keys,
@@ -147,69 +148,122 @@ def peel(difference: Column, stripes: Column) -> Column:
     )
 
 
-def _attempt(a: Column, b: Column, stripes: Column) -> Column:
-    """Peel stripe by stripe; the sums of the stripes."""
+def _first_of(dealt: Column, stripe: Column) -> Column:
+    """How many of the sorted `dealt` lie in stripes below this one, by bisection."""
+    start = F.struct(F.lit(0).alias("low"), F.size(dealt).alias("high"))
 
-    def dealt(found: Column) -> Column:
-        return F.transform(
-            found,
-            lambda d: F.struct(
-                F.pmod(F.xxhash64(d, stripes, F.lit("stripe")), stripes).alias("stripe"),
-                d.alias("d"),
-            ),
+    def step(state: Column, _: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        below = F.get(dealt, middle)["stripe"] < stripe
+        return F.when(state["low"] >= state["high"], state).otherwise(
+            F.struct(
+                F.when(below, middle + 1).otherwise(state["low"]).alias("low"),
+                F.when(below, state["high"]).otherwise(middle).alias("high"),
+            )
         )
 
-    def of(dealt: Column, stripe: Column) -> Column:
-        return F.transform(F.filter(dealt, lambda x: x.stripe == stripe), lambda x: x.d)
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(dealt) + F.lit(2))).cast("int"))
+    return F.aggregate(steps, start, step, lambda s: s["low"])
+
 
-    peeled = _let(
-        F.struct(dealt(a).alias("a"), dealt(b).alias("b")),
-        lambda both: F.transform(
-            F.sequence(F.lit(0), stripes - 1),
-            lambda i: peel(
-                subtract(sketch(of(both.a, i), stripes), sketch(of(both.b, i), stripes)), stripes
+def _signed(found: Column, sign: int) -> Column:
+    return F.transform(found, lambda d: F.struct(d.alias("d"), F.lit(sign).alias("sign")))
+
+
+def _attempt(pending: Column, stripes: Column, seed: Column) -> Column:
+    """Peel `pending` (d, sign) stripe by stripe: for each stripe ok, left, right and its digests.
+
+    The digests are sorted by stripe once and a stripe is a slice of them, so the work is that of
+    the sort, not stripes times digests.
+    """
+    dealt = F.sort_array(
+        F.transform(
+            pending,
+            lambda x: F.struct(
+                F.pmod(F.xxhash64(x["d"], seed, F.lit("stripe")), stripes).alias("stripe"),
+                x["d"].alias("d"),
+                x["sign"].alias("sign"),
             ),
-        ),
-    )
-    return F.aggregate(
-        peeled,
-        F.struct(F.lit(True).alias("ok"), F.lit(0).alias("left"), F.lit(0).alias("right")),
-        lambda s, p: F.struct(
-            (s.ok & p.ok).alias("ok"),
-            (s.left + p.left).alias("left"),
-            (s.right + p.right).alias("right"),
-        ),
+        )
     )
 
+    def of(inside: Column, sign: int) -> Column:
+        return F.transform(F.filter(inside, lambda x: x["sign"] == sign), lambda x: x["d"])
+
+    def peeled(inside: Column) -> Column:
+        difference = subtract(sketch(of(inside, 1), seed), sketch(of(inside, -1), seed))
+        return _let(
+            peel(difference, seed),
+            lambda p: F.struct(
+                p["ok"].alias("ok"),
+                p["left"].alias("left"),
+                p["right"].alias("right"),
+                F.transform(
+                    F.filter(inside, lambda x: ~p["ok"]),
+                    lambda x: F.struct(x["d"].alias("d"), x["sign"].alias("sign")),
+                ).alias("again"),
+            ),
+        )
+
+    def of_stripes(sorted_: Column) -> Column:
+        return _let(
+            F.transform(F.sequence(F.lit(0), stripes), lambda i: _first_of(sorted_, i)),
+            lambda firsts: F.transform(
+                F.sequence(F.lit(0), stripes - 1),
+                lambda i: _let(
+                    F.slice(
+                        sorted_, F.get(firsts, i) + 1, F.get(firsts, i + 1) - F.get(firsts, i)
+                    ),
+                    peeled,
+                ),
+            ),
+        )
+
+    return _let(dealt, of_stripes)
+
 
 def likeness(a: Column, b: Column) -> Column:
     """Shared paragraphs over all paragraphs of two versions, 0 to 1, by peeling the difference
     of their sketches; two versions without paragraphs are alike.
 
-    First the sketches that serve as fingerprints are compared, then larger ones. Should all
-    retries fail, the digests are compared themselves.
+    First the sketches that serve as fingerprints are compared. The digests of stripes that did not
+    peel go into more stripes and other cells, until all are peeled; each attempt has only what the
+    one before left over.
     """
 
-    def retry(state: Column, k: Column) -> Column:
-        size = F.size(a) + F.size(b)
-        larger = F.shiftleft(F.greatest(F.lit(2), F.ceil(size / PER_STRIPE).cast("int")), 1)
-        stripes = F.when(k == 0, F.lit(1)).otherwise(
-            (larger * F.pow(F.lit(2), k - 2)).cast("int")
+    def attempt(state: Column, k: Column) -> Column:
+        size = F.size(state["pending"])
+        more = F.greatest(F.lit(2), F.ceil(size / PER_STRIPE).cast("int"))
+        stripes = F.when(k == 0, F.lit(1)).otherwise(more)
+        found = _let(stripes, lambda s: _attempt(state["pending"], s, k + 1))
+
+        def total(stripes: Column, side: str) -> Column:
+            counts = F.transform(stripes, lambda p: F.when(p["ok"], p[side]).otherwise(F.lit(0)))
+            return F.aggregate(counts, state[side], lambda t, n: t + n)
+
+        after = _let(
+            found,
+            lambda stripes: F.struct(
+                F.flatten(F.transform(stripes, lambda p: p["again"])).alias("pending"),
+                total(stripes, "left").alias("left"),
+                total(stripes, "right").alias("right"),
+            ),
         )
-        return F.when(state.ok, state).otherwise(_let(stripes, lambda s: _attempt(a, b, s)))
-
-    start = F.struct(F.lit(False).alias("ok"), F.lit(0).alias("left"), F.lit(0).alias("right"))
-    found = F.aggregate(F.sequence(F.lit(0), F.lit(RETRIES)), start, retry)
-    exact = F.struct(
-        F.lit(True).alias("ok"),
-        F.size(F.array_except(a, b)).alias("left"),
-        F.size(F.array_except(b, a)).alias("right"),
+        return F.when(size == 0, state).otherwise(after)
+
+    start = F.struct(
+        F.concat(_signed(a, 1), _signed(b, -1)).alias("pending"),
+        F.lit(0).alias("left"),
+        F.lit(0).alias("right"),
     )
+    found = F.aggregate(F.sequence(F.lit(0), F.lit(ATTEMPTS)), start, attempt)
+    # A stripe of few digests fails an attempt with a small probability, independent of the others.
+    unfinished = F.raise_error(F.lit("paragraph digests that cannot be peeled")).cast("double")
     return _let(
-        _let(found, lambda f: F.when(f.ok, f).otherwise(exact)),
-        lambda f: F.when(F.size(a) + f.right == 0, F.lit(1.0)).otherwise(
-            (F.size(a) - f.left) / (F.size(a) + f.right)
-        ),
+        found,
+        lambda f: F.when(F.size(f["pending"]) > 0, unfinished)
+        .when(F.size(a) + f["right"] == 0, F.lit(1.0))
+        .otherwise((F.size(a) - f["left"]) / (F.size(a) + f["right"])),
     )
 
 

@@ -11,6 +11,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from llm_texts import TEXTS
 from pyspark.sql import functions as F
 
@@ -185,13 +186,19 @@ def test_fingerprints_of_odd_rows(odd, nothing):
     assert [r.near_next for r in fingerprints.compared(one).collect()] == [1.0]
 
 
-def test_large_differences_are_peeled_in_larger_sketches(spark):
-    a, b = [list(map(str, range(lo, lo + 400))) for lo in (0, 150)]
-    df = spark.createDataFrame([(a, b)], "a array<string>, b array<string>")
-    digest = [F.transform(c, lambda x: F.xxhash64(x)) for c in ("a", "b")]
-    cells = fingerprints._attempt(*digest, F.lit(1))
-    row = df.select(fingerprints.likeness(*digest).alias("found"), cells.ok.alias("small")).first()
-    assert not row.small and abs(row.found - 250 / 550) < 1e-12
+@pytest.mark.parametrize("n", [1, 400, 20_000])
+def test_differences_of_any_size_are_peeled(spark, n):
+    """Two versions of n paragraphs share the middle; one sketch alone holds but a few."""
+    moved = max(1, n * 3 // 8)
+    df = spark.createDataFrame([(0, n, moved, moved + n)], "a long, b long, c long, d long")
+    digest = [
+        F.transform(F.sequence(F.col(x), F.col(y) - 1), lambda v: F.xxhash64(v.cast("string")))
+        for x, y in (("a", "b"), ("c", "d"))
+    ]
+    signed = F.concat(*[fingerprints._signed(d, sign) for d, sign in zip(digest, (1, -1))])
+    small = F.get(fingerprints._attempt(signed, F.lit(1), F.lit(1)), F.lit(0))["ok"]
+    row = df.select(fingerprints.likeness(*digest).alias("found"), small.alias("small")).first()
+    assert row.small == (n == 1) and abs(row.found - (n - moved) / (n + moved)) < 1e-12
 
 
 def check_shards(rows, texts, shards=16):
