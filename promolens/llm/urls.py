@@ -13,13 +13,15 @@ Everything after the first aggregation works on distinct generalised paths, not
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.llm.common import stored
 
-CHILDREN = 32  # different children of a node beyond which those without labels are one wildcard
+CHILDREN = 32  # different children of a node beyond which those without labels are one wildcard;
+# it changes templates, no verdict: children without labels have their parent's share either way
 WEIGHT = 4.0  # labelled URLs that a parent's share counts as
 SIMILAR = 1.96  # standard errors within which two shares are taken as equal
 REJECT = 0.5
@@ -50,9 +52,11 @@ def longest_rule(rules: Rules, host: Column, path: Column) -> tuple[Column, Colu
 
 
 def generalised(path: Column) -> Column:
-    """The path with variable segments as wildcards: {n} for numbers, {x} for long hex strings."""
+    """The path with variable segments as wildcards: {n} for numbers, {x} for long hex strings, {r}
+    for further rounds of one to three segments that follow each other three times or more."""
     numbers = F.regexp_replace(path, r"(?<=/)[0-9]+(?=[./]|$)", "{n}")
-    return F.regexp_replace(numbers, r"(?<=/)[0-9a-fA-F-]{16,}(?=[./]|$)", "{x}")
+    named = F.regexp_replace(numbers, r"(?<=/)[0-9a-fA-F-]{16,}(?=[./]|$)", "{x}")
+    return F.regexp_replace(named, r"((?:/[^/]+){1,3}?)\1{2,}(?=/|$)", "$1/{r}")
 
 
 def _share(blocked: Column, labelled: Column, parent: Column) -> Column:
@@ -61,7 +65,12 @@ def _share(blocked: Column, labelled: Column, parent: Column) -> Column:
 
 def templates(paths: DataFrame) -> DataFrame:
     """host, path, template, share of `paths` (host, path, labelled, blocked), unique in host and
-    path."""
+    path.
+
+    A round goes from each node along the segments all of its paths have in common, however
+    many, and then to its branches; rows that have come to their end are not written again. So
+    there are as many rounds as branchings or ends follow each other on a path.
+    """
     total = paths.agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
     of_all = total.select(
         (F.coalesce("b", F.lit(0)) + 1) / (F.coalesce("l", F.lit(0)) + 2)
@@ -70,45 +79,75 @@ def templates(paths: DataFrame) -> DataFrame:
     of_host = paths.groupBy("host").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
     of_host = of_host.select("host", _share(F.col("b"), F.col("l"), of_all).alias("share"))
     tree = stored(
-        paths.join(of_host, "host").select(
-            "*", F.lit("").alias("template"), segments.alias("segments")
-        )
+        paths.join(of_host, "host").select("*", F.lit("").alias("template"), segments.alias("left"))
+    )
+    ended = F.size("left") == 0
+    rounds = []
+    while not (going := tree.where(~ended)).isEmpty():
+        # Each step reads the one before several times.
+        tree = stored(_along(going))
+        rounds.append(tree.where(ended))
+        tree = stored(_to_branches(tree.where(~ended)))
+        rounds.append(tree.where(ended))
+    out = [r.select("host", "path", "template", "share") for r in rounds] or [
+        tree.select("host", "path", "template", "share")
+    ]
+    return reduce(DataFrame.unionByName, out)
+
+
+NODE = ["host", "template"]
+
+
+def _along(going: DataFrame) -> DataFrame:
+    """Every path moved along the segments it has in common with all paths of its node.
+
+    On them each node has one child with the same labelled URLs, so the share tends to theirs by a
+    constant factor a segment. What all paths have in common is what the least and the greatest of
+    them have.
+    """
+    of_node = going.groupBy(*NODE).agg(
+        F.sum("labelled").alias("l"),
+        F.sum("blocked").alias("b"),
+        F.min("left").alias("first"),
+        F.max("left").alias("last"),
+    )
+    differs = F.array_position(
+        F.zip_with("first", "last", lambda x, y: x.eqNullSafe(y)), F.lit(False)
+    )
+    common = F.when(differs > 0, differs - 1).otherwise(F.size("first")).cast("int")
+    of_node = of_node.select(*NODE, "l", "b", common.alias("common"))
+    l, b, share = F.col("l"), F.col("b"), F.col("share")
+    tending = b / l + (share - b / l) * F.pow(WEIGHT / (l + WEIGHT), F.col("common"))
+    moved = F.slice("left", F.lit(1), F.col("common"))
+    return going.join(of_node, NODE).select(
+        "host",
+        "path",
+        "labelled",
+        "blocked",
+        F.when((l > 0) & (F.col("common") > 0), tending).otherwise(share).alias("share"),
+        F.when(F.col("common") > 0, F.concat("template", F.lit("/"), F.array_join(moved, "/")))
+        .otherwise(F.col("template"))
+        .alias("template"),
+        F.slice("left", F.col("common") + 1, F.size("left")).alias("left"),
+    )
+
+
+def _to_branches(going: DataFrame) -> DataFrame:
+    """Every path moved to the branch its next segment belongs to."""
+    going = going.withColumn("segment", F.get("left", F.lit(0)))
+    return going.join(_branches(going, NODE), [*NODE, "segment"]).select(
+        "host",
+        "path",
+        "labelled",
+        "blocked",
+        F.col("new_share").alias("share"),
+        F.concat("template", F.lit("/"), "branch").alias("template"),
+        F.slice("left", 2, F.size("left")).alias("left"),
     )
-    node = ["host", "template"]
-    level = 0
-    while not (going := tree.where(F.size("segments") > level)).isEmpty():
-        ended = tree.where(F.size("segments") <= level)
-        going = going.withColumn("segment", F.get("segments", F.lit(level)))
-        left = F.slice("segments", level + 1, F.size("segments"))
-        # A node's only path ends at once: the levels below have one child each.
-        l, b, steps = F.col("labelled"), F.col("blocked"), F.size("segments") - level
-        rest = F.when(
-            l > 0, b / l + (F.col("share") - b / l) * F.pow(WEIGHT / (l + WEIGHT), steps)
-        ).otherwise(F.col("share"))
-        going = going.join(_branches(going, node), [*node, "segment"]).select(
-            "host",
-            "path",
-            "labelled",
-            "blocked",
-            F.when(F.col("sole"), rest).otherwise(F.col("new_share")).alias("share"),
-            F.concat(
-                "template",
-                F.lit("/"),
-                F.when(F.col("sole"), F.array_join(left, "/")).otherwise(F.col("branch")),
-            ).alias("template"),
-            F.when(F.col("sole"), F.array().cast("array<string>"))
-            .otherwise(F.col("segments"))
-            .alias("segments"),
-        )
-        # Each level reads the one before several times.
-        tree = stored(ended.unionByName(going))
-        level += 1
-    return tree.select("host", "path", "template", "share")
 
 
 def _branches(going: DataFrame, node: list[str]) -> DataFrame:
-    """branch and its new_share for each child (segment) of a node, and whether the node has a
-    sole path.
+    """branch and its new_share for each child (segment) of a node.
 
     Labelled children are ordered by their share; one that differs significantly from the one
     before begins a new branch. Children without labels get the parent's share; they stay alone,
@@ -119,12 +158,9 @@ def _branches(going: DataFrame, node: list[str]) -> DataFrame:
         F.sum("labelled").alias("l"),
         F.sum("blocked").alias("b"),
         F.first("share").alias("parent"),
-        F.count(F.lit(1)).alias("paths"),
     )
     children = children.withColumn("rate", F.when(F.col("l") > 0, F.col("b") / F.col("l")))
-    of_node = children.groupBy(*node).agg(
-        (F.count(F.lit(1)) > CHILDREN).alias("many"), (F.sum("paths") == 1).alias("sole")
-    )
+    of_node = children.groupBy(*node).agg((F.count(F.lit(1)) > CHILDREN).alias("many"))
     child = F.struct("segment", "l", "b")
     rates = (
         children.where("l > 0")
@@ -160,7 +196,6 @@ def _branches(going: DataFrame, node: list[str]) -> DataFrame:
         .select(
             *node,
             "segment",
-            "sole",
             F.coalesce("merged", unlabelled).alias("branch"),
             F.coalesce("merged_share", "parent").alias("new_share"),
         )

@@ -140,10 +140,113 @@ def test_labelled_branches_differ_among_many_sections_and_deep_down(spark):
     assert {found[f"x.com/section{k}/w"][1] for k in range(40)} == {"/*/w"}
 
 
+def plain_templates(paths):
+    """{(host, path): (labelled, blocked)} -> {(host, path): (template, share)}, level by level."""
+    w = urls.WEIGHT
+    l, b = (sum(v[k] for v in paths.values()) for k in (0, 1))
+    of_all = (b + 1) / (l + 2)
+    out = {}
+    open_ = []
+    for host in {h for h, _ in paths}:
+        rows = [(p, p.removeprefix("/").split("/"), v) for (h, p), v in paths.items() if h == host]
+        l, b = (sum(v[k] for *_, v in rows) for k in (0, 1))
+        open_.append((host, "", (b + w * of_all) / (l + w), rows))
+    while open_:
+        host, template, share, rows = open_.pop()
+        children = {}
+        for path, left, v in rows:
+            if left:
+                children.setdefault(left[0], []).append((path, left[1:], v))
+            else:
+                out[host, path] = (template, share)
+        sums = {s: tuple(sum(v[k] for *_, v in r) for k in (0, 1)) for s, r in children.items()}
+        rates = {}
+        for s, (l, b) in sums.items():
+            if l:
+                rates.setdefault(b / l, []).append((s, l, b))
+        groups, before = [], None
+        for rate, same in sorted(rates.items()):
+            _, l, b = min(same)
+            if before is not None:
+                _, l0, b0 = before
+                pooled = (b + b0 + 1) / (l + l0 + 2)
+                error = math.sqrt(pooled * (1 - pooled) * (1 / l + 1 / l0))
+            if before is None or rate - b0 / l0 > urls.SIMILAR * error:
+                groups.append([])
+            groups[-1] += same
+            before = max(same)
+        branches = {}
+        for same in groups:
+            l, b = (sum(x[k] for x in same) for k in (1, 2))
+            name = min(min(x for x in same if x[2] / x[1] == r)[0] for r in {x[2] / x[1] for x in same})
+            branches[name] = (b + w * share) / (l + w), [r for x in same for r in children[x[0]]]
+        for s, r in children.items():
+            if not sums[s][0]:
+                name = "*" if len(children) > urls.CHILDREN else s
+                at = branches.setdefault(name, (share, []))
+                at[1].extend(r)
+        open_ += [(host, f"{template}/{name}", *found) for name, found in branches.items()]
+    return out
+
+
+def check_templates(spark, paths):
+    df = spark.createDataFrame(
+        [(h, p, *v) for (h, p), v in paths.items()], "host string, path string, labelled long, blocked long"
+    )
+    found = {(r.host, r.path): (r.template, r.share) for r in urls.templates(df).collect()}
+    expected = plain_templates(paths)
+    assert set(found) == set(expected)
+    for at, (template, share) in expected.items():
+        assert found[at][0] == template and math.isclose(found[at][1], share, rel_tol=1e-9), at
+
+
+def test_random_trees_are_those_of_a_plain_version(spark):
+    draw = random.Random(21)
+    paths = {}
+    for _ in range(700):
+        depth = draw.choice([0, 1, 2, 2, 3, 5, 9])
+        segments = [draw.choice("abc" if k < 2 else "xyzuvw") * draw.randint(1, 2) for k in range(depth)]
+        segments += ["tail", "of", "all"][: draw.choice([0, 0, 3])]
+        l = draw.choice([0, 0, 1, 3, 40])
+        paths[draw.choice(["h", "g.org"]), "/" + "/".join(segments)] = (l, draw.choice([0, l, l // 2]))
+    paths |= {("many", f"/s/c{k}/e"): (0, 0) for k in range(40)}
+    paths |= {("many", "/s/known/e"): (5, 5), ("", ""): (0, 0)}
+    check_templates(spark, paths)
+
+
+def test_templates_of_the_pages(spark, sf_dir):
+    found = queries.op7_urls(spark, sf_dir).collect()
+    parsed = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        "page_id", urls.generalised(urls.path(F.col("url"))).alias("p")
+    )
+    general = {r.page_id: r.p for r in parsed.collect()}
+    paths = {}
+    for r in found:
+        l, b = paths.get((r.host, general[r.page_id]), (0, 0))
+        ruled = r.rule is not None
+        paths[r.host, general[r.page_id]] = (l + ruled, b + (ruled and r.verdict == "block"))
+    expected = plain_templates(paths)
+    for r in found:
+        template, share = expected[r.host, general[r.page_id]]
+        assert r.template == template and math.isclose(r.share, share, rel_tol=1e-9)
+        if r.rule is None:
+            assert r.verdict == ("block" if share >= urls.REJECT else "allow")
+
+
+def test_long_common_paths_take_one_round(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(urls, "stored", lambda df, of=urls.stored: rounds.append(1) or of(df))
+    long = "/".join(f"s{k}" for k in range(1000))
+    check_templates(spark, {("h", f"/{long}/{end}"): (k, k % 2) for k, end in enumerate(("a", "b", "c/d"))})
+    assert len(rounds) <= 5
+
+
 def test_generalised_paths(spark):
     df = spark.createDataFrame(
-        [("/en/12/x9.html",), ("/2024/01.html",), ("/9f86d081884c7d659a2feaa0c55ad015/",), ("",), ("/1/2",)], "p string"
+        [("/en/12/x9.html",), ("/2024/01.html",), ("/9f86d081884c7d659a2feaa0c55ad015/",), ("",), ("/1/2",),
+         ("/x" + "/ab" * 70 + "/abc",), ("/q" + "/m/n" * 9,), ("/a/a/b/b",)], "p string"
     )
     assert [r[0] for r in df.select(urls.generalised(F.col("p"))).collect()] == [
         "/en/{n}/x9.html", "/{n}/{n}.html", "/{x}/", "", "/{n}/{n}",
+        "/x/ab/{r}/abc", "/q/m/n/{r}", "/a/a/b/b",
     ]
