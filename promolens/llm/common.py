@@ -61,6 +61,12 @@ def map_columns(
     return df.mapInArrow(run, schema)
 
 
+def hash_edge(most: int, total: int) -> int:
+    """The largest signed 64-bit hash to keep so that, of `total` rows, `most` are hardly missed."""
+    share = min(1.0, (most + 4 * most**0.5) / max(total, 1))
+    return min(int(share * 2**64) - 2**63, 2**63 - 1)
+
+
 def hashed_share(rows: DataFrame, by: list[str], most: int) -> DataFrame:
     """The rows whose hashed columns `by` are least, about `most` of them, all if there are fewer.
 
@@ -69,8 +75,7 @@ def hashed_share(rows: DataFrame, by: list[str], most: int) -> DataFrame:
     total = rows.count()
     if total <= most:
         return rows
-    share = min(1.0, (most + 4 * most**0.5) / total)
-    return rows.where(F.xxhash64(*by) <= int(share * (2**64 - 1)) - 2**63)
+    return rows.where(F.xxhash64(*by) <= hash_edge(most, total))
 
 
 def drawn(rows: DataFrame, by: list[str], most: int) -> DataFrame:

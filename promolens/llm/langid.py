@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from promolens.llm.common import Columns, map_columns, stored
+from promolens.llm.common import Columns, hash_edge, map_columns, stored
 from promolens.llm.ngrams import hashes
 
 ORDERS = (3, 4)
@@ -25,6 +25,7 @@ PLACES = 3  # places of an n-gram
 BITS = 20  # the filter has 2 ** BITS places; PLACES * BITS hash bits are used
 WORD = 64  # languages per mask
 PER_LANGUAGE = 1000  # documents of a language that the filter is fitted on, at most
+LANGUAGES = 256  # languages learned, the most frequent ones, at most
 SHARE = 0.25  # of the n-gram's highest rate in any language, to count as contained
 LEAST = 2  # times an n-gram must occur in a language
 
@@ -59,27 +60,43 @@ class LanguageFilter:
         return self.languages[best], float(shares[best])
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageFilter:
-    """Fit on `labelled` (doc_id, text, lang): at most `per_language` documents of each language,
-    those whose hashed doc_id is least; NULL texts and languages are left out.
+def fit(
+    labelled: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES
+) -> LanguageFilter:
+    """Fit on `labelled` (doc_id, text, lang): at most `per_language` documents of each of the
+    `languages` most frequent languages, those whose hashed doc_id is least. Rows of one doc_id and
+    language are one document, with the least of their texts; NULL texts and languages are left out.
 
     The n-grams are counted by Spark. The driver gets the languages and the filter's places, both
     of fixed size.
     """
     known = labelled.where("text is not null and lang is not null")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
-    languages = [r.lang for r in counts]
-    number = {name: i for i, name in enumerate(languages)}
-    draw = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    names = [r.lang for r in counts]
+    number = {name: i for i, name in enumerate(names)}
+    # Only the rows that can be among the least are ranked, so a frequent language is no hot key.
+    edges = [(r.lang, hash_edge(per_language, r["count"])) for r in counts]
+    place = F.xxhash64("doc_id")
+    pairs = [F.lit(x) for edge in edges for x in edge]
+    near = place <= F.create_map(*pairs)[F.col("lang")] if edges else F.lit(False)
+    draw = Window.partitionBy("lang").orderBy(place, "doc_id")
     drawn = (
-        known.select("doc_id", "lang")
+        known.where(near)
+        .select("doc_id", "lang")
+        .distinct()
         .withColumn("n", F.row_number().over(draw))
         .where(F.col("n") <= per_language)
         .select("doc_id", "lang")
-        .distinct()
     )
-    # At most per_language rows of each language: small by the parameter.
-    sample = known.join(F.broadcast(drawn), ["doc_id", "lang"]).select("text", "lang")
+    # At most per_language rows of each language: small by the parameters.
+    same = [F.col(f"k.{c}").eqNullSafe(F.col(f"d.{c}")) for c in ("doc_id", "lang")]
+    sample = (
+        known.alias("k")
+        .join(F.broadcast(drawn.alias("d")), same)
+        .groupBy("k.doc_id", "k.lang")
+        .agg(F.min("k.text").alias("text"))
+        .select("text", "lang")
+    )
 
     def count(batches: Iterable[Columns]) -> Iterator[Columns]:
         for batch in batches:
@@ -115,7 +132,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageFilter
             )
         )
     )
-    planes = -(-len(languages) // WORD)
+    planes = -(-len(names) // WORD)
     masks = np.zeros((planes, 1 << BITS), np.uint64)
     bits = (
         contained.select(
@@ -129,11 +146,11 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageFilter
     masks[plane, at] = bits["mask"].to_numpy().view(np.uint64)
     full = [
         np.count_nonzero(masks[i // WORD] & np.uint64(1 << i % WORD)) / (1 << BITS)
-        for i in range(len(languages))
+        for i in range(len(names))
     ]
-    if len(languages) <= 8:
+    if len(names) <= 8:
         masks = masks.astype(np.uint8)
-    return LanguageFilter(languages, masks, np.array(full) ** PLACES)
+    return LanguageFilter(names, masks, np.array(full) ** PLACES)
 
 
 def predict(docs: DataFrame, model: LanguageFilter, *keep: str) -> DataFrame:
@@ -141,9 +158,12 @@ def predict(docs: DataFrame, model: LanguageFilter, *keep: str) -> DataFrame:
 
     `und` with score 0 where the text is NULL or has no letter, or nothing was learned. A text
     whose n-grams are all unknown gets the most frequent language with score 0. Repeated rows are
-    predicted each. Columns of these names in `docs` are replaced.
+    predicted each. Columns of `docs` are carried only where `keep` names them; it cannot name the
+    results.
     """
-    keep = ("doc_id", *keep)
+    if clash := {"lang_pred", "score"} & set(keep):
+        raise ValueError(f"names of results: {sorted(clash)}")
+    keep = ("doc_id", *(k for k in keep if k != "doc_id"))
     kinds = dict(docs.dtypes)
 
     def rows(batches: Iterable[Columns]) -> Iterator[Columns]:

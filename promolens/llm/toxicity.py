@@ -16,7 +16,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import Columns, map_columns, stored
+from promolens.llm.common import Columns, drawn, map_columns, stored
 from promolens.llm.ngrams import hashes
 
 ORDERS = (4, 5, 6)
@@ -56,10 +56,6 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(total, -500, 500))))
 
 
-def _drawn(labels: DataFrame, toxic: int, rows: int) -> DataFrame:
-    return labels.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-
-
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -68,19 +64,23 @@ def fit(
 ) -> ToxicityModel:
     """Fit on the texts of `docs` (doc_id, text) that `labels` (doc_id, toxic 0 or 1) marks.
 
-    At most `toxic_rows` and `clean_rows` labels are used, those whose hashed doc_id is least.
-    A doc_id with several labels is toxic if one says so; NULL labels and texts are left out.
+    At most `toxic_rows` and `clean_rows` documents are used, those whose hashed doc_id is least.
+    A doc_id with several labels is toxic if one says so, and rows of one doc_id are one document,
+    with the least of their texts; NULL labels and texts are left out.
     Where a class is missing, every text gets the share of toxic rows as its score.
     """
-    marked = (
+    marked = stored(
         labels.where("doc_id is not null and toxic is not null")
         .groupBy("doc_id")
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
-    marked = stored(_drawn(marked, 1, toxic_rows).union(_drawn(marked, 0, clean_rows)))
+    bounds = {1: toxic_rows, 0: clean_rows}
+    parts = [drawn(marked.where(F.col("toxic") == t), ["doc_id"], n) for t, n in bounds.items()]
+    marked = stored(parts[0].union(parts[1]))
     # At most toxic_rows + clean_rows rows: small by the parameters.
     texts = docs.where("text is not null").select("doc_id", "text")
-    sample = stored(texts.join(F.broadcast(marked), "doc_id").select("text", "toxic"))
+    found = texts.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "toxic")
+    sample = stored(found.agg(F.min("text").alias("text")).select("text", "toxic"))
     sample = sample.repartition(TASKS)
     size = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     ones, zeros = size.get(1, 0), size.get(0, 0)
@@ -142,8 +142,11 @@ def score(docs: DataFrame, model: ToxicityModel, *keep: str) -> DataFrame:
     """score (0 to 1) of each whole text, next to doc_id and the columns `keep`.
 
     NULL and empty texts get the score of a text without features. Repeated rows are scored each.
+    Columns of `docs` are carried only where `keep` names them; it cannot name the result.
     """
-    keep = ("doc_id", *keep)
+    if "score" in keep:
+        raise ValueError("score is the name of the result")
+    keep = ("doc_id", *(k for k in keep if k != "doc_id"))
     kinds = dict(docs.dtypes)
 
     def rows(batches: Iterable[Columns]) -> Iterator[Columns]:

@@ -99,3 +99,34 @@ def test_toxicity_of_odd_rows(spark, odd, nothing):
 def test_short_texts_get_a_learned_language(spark, text):
     model = langid.LanguageFilter(["en"], np.zeros((1, 1 << langid.BITS), np.uint8), np.zeros(1))
     assert model.predict(text) == ("en", 0.0)
+
+
+def test_samples_keep_to_their_bounds(spark, monkeypatch):
+    """One doc_id in 5,000 rows of different texts, and 3,000 others."""
+    docs = spark.range(8000).selectExpr(
+        "if(id < 5000, 7, id) as doc_id", "concat('word ', id, ' more') as text", "'aa' as lang"
+    )
+    labels = spark.range(8000).selectExpr("id as doc_id", "int(id % 2) as toxic")
+    seen = []
+    for module in (langid, toxicity):
+        of = module.map_columns
+        monkeypatch.setattr(
+            module, "map_columns", lambda df, *a, of=of: seen.append(df.count()) or of(df, *a)
+        )
+    langid.fit(docs, per_language=10)
+    assert seen[0] <= 10
+    seen.clear()
+    toxicity.fit(docs, labels, toxic_rows=5, clean_rows=5)
+    assert 0 < max(seen) <= 10
+    few = langid.fit(docs.withColumn("lang", F.concat("lang", F.col("doc_id") % 5)), 4, languages=3)
+    assert len(few.languages) == 3
+
+
+def test_names_of_results_cannot_be_kept(spark, odd):
+    model = langid.LanguageFilter([], np.zeros((0, 1), np.uint8), np.zeros(0))
+    with pytest.raises(ValueError, match="score"):
+        langid.predict(odd, model, "score")
+    with pytest.raises(ValueError, match="score"):
+        toxicity.score(odd, toxicity.ToxicityModel(0.0), "score")
+    kept = langid.predict(odd, model, "doc_id", "lang")
+    assert kept.columns == ["doc_id", "lang", "lang_pred", "score"] and kept.count() == odd.count()
