@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Iterable, Mapping
@@ -24,12 +25,28 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def shared_folder(checkpoints: str | None, warehouse: str, master: str) -> str:
+    """Where driver and executors both read and write: the named checkpoint folder, else the
+    warehouse, unless that is a folder of one machine while executors run on others."""
+    if checkpoints:
+        return checkpoints
+    local = warehouse.startswith(("file:", "/"))
+    if local and not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError("on a cluster spark.checkpoint.dir has to name a shared folder")
+    return warehouse
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder that driver and executors share, removed when the application ends.
 
-    It lies below `spark.checkpoint.dir`, or below the warehouse where the session names none.
+    It lies below `spark.checkpoint.dir`, or below the warehouse where the session names none; see
+    `shared_folder`.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    shared = shared_folder(
+        spark.conf.get("spark.checkpoint.dir", None),
+        spark.conf.get("spark.sql.warehouse.dir"),
+        spark.conf.get("spark.master", "local"),
+    )
     name = uuid.uuid4().hex
     folder = f"{shared.rstrip('/')}/promolens-{name}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -11,6 +11,7 @@ from promolens.sources import (
     table_versions,
     write_tables,
 )
+from promolens.sources.readers import shared_folder
 
 
 @pytest.fixture
@@ -66,3 +67,12 @@ def test_a_clustered_table_is_read_by_key_without_a_shuffle(spark, name):
     counted = read_table(spark, name).groupBy("k", "t").count().groupBy("k").agg(F.max("t").alias("t"))
     assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
     assert counted.count() == 37 and counted.agg(F.max("t")).first()[0] == 999
+
+
+def test_scratch_tables_lie_where_all_executors_read():
+    assert shared_folder("hdfs://a/b", "file:/x", "yarn") == "hdfs://a/b"
+    assert shared_folder(None, "s3://w", "spark://m:7077") == "s3://w"
+    assert shared_folder(None, "file:/x", "local[8]") == "file:/x" == shared_folder("", "file:/x", "local")
+    for master in ("yarn", "spark://m:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            shared_folder(None, "file:/x", master)
