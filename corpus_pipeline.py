@@ -2,6 +2,8 @@
 
 Each stage gets what its predecessor kept, written as Parquet and read again. All but the last
 return the columns of `documents`; the last one returns packed sequences.
+
+Repeated rows and a NULL doc_id pass through every stage as they come; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -20,25 +22,29 @@ LEAST_LANGUAGE = 0.2
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without letters and those in none of the languages learned."""
+    """Drop documents without letters (NULL and empty texts too) and those in none of the languages
+    learned. Where no row has a language, none is learned and nothing stays."""
     found = langid.predict(docs, langid.fit(docs.where(~held_out())), *COLUMNS[1:])
     return found.where(f"lang_pred <> 'und' and score >= {LEAST_LANGUAGE}").select(COLUMNS)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents predicted toxic."""
+    """Drop documents predicted toxic. A text without features has the score of the class sizes;
+    without labels of both classes every text has."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
     scored = toxicity.score(docs, model, *COLUMNS[1:])
     return scored.where(f"score < {toxicity.THRESHOLD}").select(COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates, the one of least doc_id."""
+    """Keep one document of each group of near duplicates, the one of least doc_id. Rows of one
+    doc_id are one document; texts without words are nobody's duplicate and stay."""
     return neardup.kept_documents(docs).select(COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of token ids, none across documents, none padded."""
+    """Sequences of token ids, none across documents, none padded. A NULL or empty text is its end
+    id alone."""
     return packing.pack(docs, WORD_BPE)
 
 

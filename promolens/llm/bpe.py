@@ -199,7 +199,8 @@ def decoded(tokens: DataFrame, vocabulary: str) -> DataFrame:
 def round_trip_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens, and the hashes of the ids and of the text decoded from them.
 
-    Ids and texts stay in the task that made them; only the digests leave it.
+    Ids and texts stay in the task that made them; only the digests leave it. A NULL text counts as
+    empty, repeated rows are encoded each, other columns are ignored, no rows give no rows.
     """
 
     def rows(batches: Iterable[Columns]) -> Iterator[Columns]:
