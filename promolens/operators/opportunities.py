@@ -61,7 +61,9 @@ def next_responses(events: DataFrame, limits: Limits | None = None) -> DataFrame
             Layout.of(log, keys, "t_us", limits),
         )
         .where("received")
-        .select(*keys, "t_us", "view_us", "completion_us")
+        .select(
+            *keys, "t_us", *[F.when(known, F.col(c)).alias(c) for c in ("view_us", "completion_us")]
+        )
     )
 
 

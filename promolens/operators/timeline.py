@@ -87,12 +87,21 @@ def _of_together(rows: DataFrame, lookback: features.Lookback) -> DataFrame:
         F.max(event == COMPLETED).alias("completed"),
         *features.instant_sums(event, F.col("amount")),
     )
-    answered = instants.select("*", *in_partition(_responses(), [USER, "offer_id"], "t_us"))
-    history = _history(lookback)
+    responses, history = _responses(), _history(lookback)
+    answered = instants.select("*", *in_partition(responses, [USER, "offer_id"], "t_us"))
+    # A frame of a row without a time has all rows of its key.
+    placed = F.col(USER).isNotNull() & F.col("t_us").isNotNull()
+    known = placed & F.col("offer_id").isNotNull()
     return (
         answered.select("*", *in_partition(history, [USER], "t_us"))
         .where("received")
-        .select(USER, "offer_id", "t_us", "view_us", "completion_us", *[r.name for r in history])
+        .select(
+            USER,
+            "offer_id",
+            "t_us",
+            *[F.when(known, F.col(r.name)).alias(r.name) for r in responses],
+            *[F.when(placed, F.col(r.name)).alias(r.name) for r in history],
+        )
     )
 
 

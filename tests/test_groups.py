@@ -167,3 +167,28 @@ def test_reasons_are_the_strongest_inputs(fitted):
     for time, ranks in by_row.items():
         assert sorted(ranks.values(), reverse=True) == [ranks[k] for k in sorted(ranks)]
         assert max(map(abs, of[time])) == ranks[1]
+
+
+@pytest.mark.parametrize("n, keep", [(50, 3), (1, 3), (4, 2), (27, 3), (2, 5)])
+def test_a_race_drops_weak_sets_early(n, keep):
+    draws = [{"quality": (i * 7919) % 101, "maxIter": 270} for i in range(n)]
+    cost, sizes = [], []
+
+    def scores(alive, share):
+        cost.append(share * len(alive))
+        sizes.append((len(alive), share))
+        return [float(d["quality"]) for d in alive]
+
+    best, score = modeling.successive_halving(draws, scores, keep)
+    assert best["quality"] == score == max(d["quality"] for d in draws)
+    assert sizes[0][0] == n and sizes[-1][1] == 1 and sizes[-1][0] <= max(keep, 1) + 1
+    assert all(b[1] == pytest.approx(a[1] * keep) for a, b in zip(sizes, sizes[1:]))
+    if n == 50:
+        assert sum(cost) < 10
+
+
+def test_equal_sets_leave_the_first(spark):
+    draws = [{"k": i} for i in range(9)]
+    assert modeling.successive_halving(draws, lambda alive, share: [1.0] * len(alive))[0] == {"k": 0}
+    with pytest.raises(ValueError):
+        modeling.successive_halving([], lambda alive, share: [])
