@@ -1,11 +1,11 @@
 """URL verdicts by rules and, where no rule fits, by a tree of path templates.
 
-A path's segments are generalised: numbers and hex strings become wildcards, extensions stay. Per
-host the segments form a tree, built level by level until every path has ended: of a node with many
-different children those without labels get one wildcard child, and labelled children whose shares
-of blocked URLs do not differ significantly become one branch. A branch's share is smoothed towards its parent's, the host's towards the share
-of all; a template whose smoothed share of blocked URLs is high is rejected. The labels are the
-verdicts of the rules.
+A path's segments are generalised: numbers, hex strings and repeated runs become wildcards,
+extensions stay. Per host the segments form a tree, built from branching to branching until every
+path has ended: of a node with many different children those without labels get one wildcard child,
+and labelled children whose shares of blocked URLs do not differ significantly become one branch. A
+branch's share is smoothed towards its parent's, the host's towards the share of all; a template
+whose smoothed share of blocked URLs is high is rejected. The labels are the verdicts of the rules.
 
 Everything after the first aggregation works on distinct generalised paths, not on pages.
 """
