@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 from itertools import islice
 
 import pyarrow as pa
@@ -46,6 +46,26 @@ def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch
 
 
+#: What this Python worker keeps for the tasks to come, and the module it keeps it for.
+_kept: dict = {}
+_owner: str | None = None
+
+
+def kept(name: Hashable, make: Callable[[], object]):
+    """An object that lives on after its task, until tasks of another module come: a worker that
+    serves one operator after the other holds the memory of one."""
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
+def serve(module: str) -> None:
+    global _owner
+    if module != _owner:
+        _kept.clear()
+        _owner = module
+
+
 def map_columns(
     df: DataFrame, rows: Callable[[Iterable[Columns]], Iterator[Columns]], schema: str
 ) -> DataFrame:
@@ -53,6 +73,7 @@ def map_columns(
     kind = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        serve(rows.__module__)
         for out in rows(p.to_pydict() for b in batches for p in pieces(b)):
             yield pa.RecordBatch.from_pydict(out, kind)
         # A worker lives on after its task; other tasks shall have the memory.

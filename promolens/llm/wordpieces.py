@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import os
 from array import array
-from functools import lru_cache
 
-from promolens.llm.common import byte_alphabet
+from promolens.llm.common import byte_alphabet, kept
 
 STOPS = ".,!?;:"
 LAST_LATIN = "ɏ"  # up to here letters are composed ones
@@ -116,7 +115,6 @@ class WordIds:
         return out
 
 
-@lru_cache(maxsize=4)
 def word_ids(path: str) -> WordIds:
     """One per Python worker and tokenizer."""
-    return WordIds(path)
+    return kept((WordIds, path), lambda: WordIds(path))
