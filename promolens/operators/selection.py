@@ -2,10 +2,11 @@
 
 Every wanted rank is a search. A round counts, for each search, the values in 256 equal parts of the
 range it is down to, with the least and the largest value in each; the part that holds the rank
-is the next range. A search ends when its range is one value, after some log256(rows) rounds. What
-is shuffled are these counters, some hundred per task and search, never a row per value; what the
-driver gets is one row per search and round. The rounds run while the call is made, over a stored
-copy of the columns.
+is the next range. A search ends when its range is one value, after some log256(rows) rounds, and
+eight at most: a part has fewer keys than its range, or one. A task counts all its batches into one
+array. What is shuffled are these counters, some hundred per task and search, never a row per value;
+what the driver gets is one row per search and round. The rounds run while the call is made, over a
+stored copy of the columns.
 """
 
 from __future__ import annotations
@@ -27,6 +28,22 @@ _LOW_BITS = np.int64(0x7FFFFFFFFFFFFFFF)
 
 #: (group, column): sorted keys of a batch.
 Sorted = dict[tuple[int, int], np.ndarray]
+_NONE = np.iinfo(np.int64)
+
+
+class Counters:
+    """Count, least and largest key, and a second count, of numbered places; batches are added up."""
+
+    def __init__(self, size: int):
+        self.n, self.out = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        self.low, self.high = np.full(size, _NONE.max), np.full(size, _NONE.min)
+
+    def add(self, at, n, low, high, out=0) -> None:
+        """Places `at` are distinct."""
+        self.n[at] += n
+        self.out[at] += out
+        self.low[at] = np.minimum(self.low[at], low)
+        self.high[at] = np.maximum(self.high[at], high)
 
 
 def keys_of(values: np.ndarray) -> np.ndarray:
@@ -62,14 +79,16 @@ class Columns:
         )
         self.names = {0: None} | dict(enumerate(some, 1))
 
-    def fold(
-        self, per_batch: Callable[[Sorted], Iterator[tuple]], schema: str
-    ) -> DataFrame:
-        """What `per_batch` finds in the sorted keys of each batch."""
+    def fold(self, size: int, add: Callable[[Counters, Sorted], None]) -> DataFrame:
+        """(at, n, low, high, out) of the places below `size` that have any: what `add` counts of
+        the sorted keys of each batch, added up per task and then over the tasks. Without a key of
+        its own a place has no low and high."""
         count = len(self.columns)
+        schema = "at int, n long, low long, high long, out long"
         kind = to_arrow_schema(StructType.fromDDL(schema))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = Counters(size)
             for batch in batches:
                 group = batch.column(0).to_numpy()
                 found: Sorted = {}
@@ -80,29 +99,36 @@ class Columns:
                     at = group[there]
                     for g in np.unique(at):
                         found[int(g), k] = np.sort(keys[at == g])
-                rows = list(per_batch(found))
-                if rows:
-                    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), kind)]
-                    yield pa.RecordBatch.from_arrays(columns, schema=kind)
+                add(total, found)
+            at = np.flatnonzero((total.n > 0) | (total.out > 0))
+            none = total.n[at] == 0
+            ends = [pa.array(x[at], mask=none) for x in (total.low, total.high)]
+            columns = [pa.array(at.astype(np.int32)), pa.array(total.n[at]), *ends, pa.array(total.out[at])]
+            yield pa.RecordBatch.from_arrays(columns, schema=kind)
 
-        return self.rows.mapInArrow(run, schema)
+        found = self.rows.mapInArrow(run, schema)
+        return found.groupBy("at").agg(
+            *[how(c).alias(c) for c, how in
+              (("n", F.sum), ("low", F.min), ("high", F.max), ("out", F.sum))]
+        )
 
 
 def _edges(low: int, high: int) -> np.ndarray:
-    """The first key of each part of low to high, in whole numbers beyond 64 bits."""
-    return np.array([low + (high - low) * k // PARTS for k in range(PARTS)], np.int64)
+    """The first key of each part of low to high, in whole numbers beyond 64 bits. No part has both
+    ends, so that every round narrows a range."""
+    return np.array([low + (high - low + 1) * k // PARTS for k in range(PARTS)], np.int64)
 
 
 def _ends(data: Columns) -> dict[tuple[int, int], tuple[int, int, int]]:
     """Count, least and largest key of each group and column that has a value."""
+    count = len(data.columns)
 
-    def per_batch(found: Sorted) -> Iterator[tuple]:
+    def add(total: Counters, found: Sorted) -> None:
         for (g, k), keys in found.items():
-            yield g, k, len(keys), int(keys[0]), int(keys[-1])
+            total.add(g * count + k, len(keys), keys[0], keys[-1])
 
-    rows = data.fold(per_batch, "g int, k int, n long, low long, high long")
-    rows = rows.groupBy("g", "k").agg(F.sum("n"), F.min("low"), F.max("high"))
-    return {(g, k): (n, low, high) for g, k, n, low, high in rows.collect()}
+    rows = data.fold(len(data.names) * count, add)
+    return {divmod(r.at, count): (r.n, r.low, r.high) for r in rows.collect()}
 
 
 def select_ranks(
@@ -116,25 +142,29 @@ def select_ranks(
         # Searches down to the same range share their counters.
         ranges = sorted({(*s[:2], *state[s][:2]) for s in open_})
         of_range = {x: i for i, x in enumerate(ranges)}
-        cut = [(g, k, low, high, _edges(low, high)) for g, k, low, high in ranges]
+        cut = [(g, k, high, _edges(low, high)) for g, k, low, high in ranges]
 
-        def per_batch(found: Sorted, cut=cut) -> Iterator[tuple]:
-            for i, (g, k, low, high, edges) in enumerate(cut):
+        def add(total: Counters, found: Sorted, cut=cut) -> None:
+            for i, (g, k, high, edges) in enumerate(cut):
                 keys = found.get((g, k))
                 if keys is None:
                     continue
                 at = np.append(np.searchsorted(keys, edges), np.searchsorted(keys, high, "right"))
-                for part in np.flatnonzero(np.diff(at)):
-                    first, last = at[part], at[part + 1]
-                    yield i, int(part), int(last - first), int(keys[first]), int(keys[last - 1])
+                part = np.flatnonzero(np.diff(at))
+                first, last = at[part], at[part + 1]
+                total.add(i * PARTS + part, last - first, keys[first], keys[last - 1])
 
-        counts = data.fold(per_batch, "i int, part int, n long, low long, high long")
-        counts = counts.groupBy("i", "part").agg(
-            F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")
+        counts = data.fold(len(ranges) * PARTS, add).selectExpr(
+            f"at div {PARTS} as i", f"at % {PARTS} as part", "n", "low", "high"
         )
         asked = data.rows.sparkSession.createDataFrame(
-            [(j, of_range[(*s[:2], *state[s][:2])], s[2] - state[s][2]) for j, s in enumerate(open_)],
-            "j int, i int, rank long",
+            pa.table(
+                {
+                    "j": range(len(open_)),
+                    "i": [of_range[(*s[:2], *state[s][:2])] for s in open_],
+                    "rank": [s[2] - state[s][2] for s in open_],
+                }
+            )
         )
         before = Window.partitionBy("i").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
         placed = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -179,28 +209,27 @@ def box_by_group(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
         at: tuple(int(x) for x in keys_of(np.array(limit[3:]))) for at, limit in limits.items()
     }
 
-    def per_batch(found: Sorted) -> Iterator[tuple]:
+    count = len(data.columns)
+
+    def add(total: Counters, found: Sorted) -> None:
         for (g, k), keys in found.items():
             low, high = near[g, k]
             first, last = np.searchsorted(keys, low), np.searchsorted(keys, high, "right")
-            some = first < last
-            yield (
-                g,
-                k,
-                len(keys),
-                int(keys[first]) if some else None,
-                int(keys[last - 1]) if some else None,
-                int(len(keys) - max(last - first, 0)),
-            )
+            inside = max(int(last - first), 0)
+            if inside:
+                total.add(g * count + k, inside, keys[first], keys[last - 1], len(keys) - inside)
+            else:
+                total.out[g * count + k] += len(keys)
 
-    rows = data.fold(per_batch, "g int, k int, n long, low long, high long, out long")
-    found = rows.groupBy("g", "k").agg(F.sum("n"), F.min("low"), F.max("high"), F.sum("out"))
     out = []
-    for g, k, n, low, high, outside in found.collect():
+    for r in data.fold(len(data.names) * count, add).collect():
+        (g, k), n, low, high, outside = divmod(r.at, count), r.n + r.out, r.low, r.high, r.out
         whiskers = [None if x is None else value_of(x) for x in (low, high)]
         out.append((data.columns[k], data.names[g], n, *limits[g, k][:3], *whiskers, outside))
-    return df.sparkSession.createDataFrame(
-        out,
+    schema = StructType.fromDDL(
         f"feature string, `{by}` {data.kind}, n long, q1 double, median double, q3 double, "
-        "whisker_low double, whisker_high double, n_outliers long",
+        "whisker_low double, whisker_high double, n_outliers long"
     )
+    columns = [pa.array([r[i] for r in out], f.type) for i, f in enumerate(to_arrow_schema(schema))]
+    table = pa.Table.from_arrays(columns, schema=to_arrow_schema(schema))
+    return df.sparkSession.createDataFrame(table, schema)

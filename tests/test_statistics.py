@@ -142,3 +142,37 @@ def test_box_counters_are_shuffled_not_rows(spark, sf_dir):
     }
     assert all("Expand" not in plan(r) and "Generate" not in plan(r) for r in rounds)
     assert len(rounds) <= 4
+
+
+def counting_rounds(data, at_most):
+    """Stops a search that does not end."""
+    rounds, fold = [], data.fold
+
+    def counted(*a):
+        assert len(rounds) < at_most
+        rounds.append(a)
+        return fold(*a)
+
+    data.fold = counted
+    return rounds
+
+
+@pytest.mark.parametrize("start", [1.0, -1.0, 0.0, 5e300])
+def test_ranks_among_neighbouring_doubles(spark, start):
+    values = [start]
+    for _ in range(299):
+        values.append(float(np.nextafter(values[-1], np.inf)))
+    rows = [(1, v) for v in values for _ in range(3)]
+    df = spark.createDataFrame(rows, "g int, x double").repartition(3)
+    data = selection.Columns(df, ["x"], "g")
+    counting_rounds(data, 12)
+    ends = selection._ends(data)
+    found = selection.select_ranks(data, {(1, 0): set(range(900))}, ends)
+    assert [found[1, 0, r] for r in range(900)] == [v for _, v in rows]
+
+
+def test_a_task_counts_all_its_batches_at_once(spark):
+    df = spark.range(50_000).select(F.lit(1).alias("g"), F.col("id").cast("double").alias("x"))
+    data = selection.Columns(df.coalesce(1), ["x"], "g")
+    [row] = data.fold(2, lambda total, found: total.add(1, 1, 0, 0)).collect()
+    assert tuple(row) == (1, 5, 0, 0, 0)  # five batches of 10,000
