@@ -28,6 +28,8 @@ WITNESSES = 10_000
 STEP = 1 << 24
 # A hot key is cut by rank into so many stretches, and a stretch that stays large into as many.
 PARTS = 128
+# A task of a large scan gets about so many rows, however large the input.
+TASK_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -49,6 +51,8 @@ class Layout:
     order: str
     hot: DataFrame | None = None
     heavy: DataFrame | None = None
+    #: How many tasks the rows are dealt to; None leaves it to the session.
+    tasks: int | None = None
 
     @staticmethod
     def of(
@@ -68,15 +72,18 @@ class Layout:
         keys = tuple(keys)
         if limits.at_most is not None and limits.at_most <= limits.min_rows:
             return Layout(keys, order)
-        if weight:
-            total = rows.agg(F.sum(weight)).first()[0] or 0
-        else:
-            total = rows.count()
-        if total <= limits.min_rows:
+        n_rows = F.sum(weight) if weight else F.count(F.lit(1))
+        unset = ~_all_set([*keys, order])
+        total, loose, count = rows.agg(
+            n_rows,
+            F.sum(F.when(unset, F.col(weight) if weight else F.lit(1))),
+            F.count(F.lit(1)),
+        ).first()
+        if (total or 0) <= limits.min_rows:
             return Layout(keys, order)
 
-        chunk = max(limits.min_rows, -(-total // limits.chunks))
-        n_rows = F.sum(weight) if weight else F.count(F.lit(1))
+        tasks = tasks_for(count)
+        chunk = limit = max(limits.min_rows, -(-total // limits.chunks))
         placed = rows.select(
             *keys, F.col(order).cast("double").alias("_x"), *([weight] if weight else [])
         ).where(_all_set([*keys, "_x"]))
@@ -87,8 +94,11 @@ class Layout:
             chunk //= one_in
         real = placed.where(~F.isnan("_x"))
         many = real.groupBy(*keys).agg(n_rows.alias("_n")).where(F.col("_n") > chunk)
+        many = _pinned(many.select(*keys))
+        if tasks and (loose or 0) <= limit and many.isEmpty():
+            return Layout(keys, order, tasks=tasks)
         hot = _pinned(
-            real.join(F.broadcast(many.select(*keys)), list(keys))
+            real.join(F.broadcast(many), list(keys))
             .groupBy(*keys)
             .agg(_edges("_x").alias("_edges"))
         )
@@ -104,13 +114,19 @@ class Layout:
             .groupBy(*part)
             .agg(_edges("_x").alias("_cuts"))
         )
-        return Layout(keys, order, hot, heavy)
+        return Layout(keys, order, hot, heavy, tasks)
 
     @property
     def single(self) -> bool:
-        """No key is large enough to be cut."""
+        """No key is large enough to be cut, nor are there many rows without a key or an order."""
         return self.hot is None
 
+    def dealt(self, rows: DataFrame, *keys: str) -> DataFrame:
+        """`rows` of a large scan, dealt by `keys` to as many tasks as their number asks for: a
+        count of its own, since joining small shuffled pieces lets a task's memory grow with the
+        input."""
+        return rows.repartition(self.tasks, *keys) if self.tasks else rows
+
     def assign(self, rows: DataFrame, hot_only: bool = False) -> DataFrame:
         """Add the cell. 0 = the whole key; positive and rising with the order column = a
         cell of a hot key; negative = a key or order value is NULL (spread, never matched).
@@ -132,6 +148,11 @@ class Layout:
         )
 
 
+def tasks_for(rows: int) -> int | None:
+    """Tasks of about `TASK_ROWS` rows; small inputs are left to the session."""
+    return None if rows <= Limits.min_rows else -(-rows // TASK_ROWS)
+
+
 def _all_set(names: Sequence[str]) -> Column:
     out = F.lit(True)
     for name in names:

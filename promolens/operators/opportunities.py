@@ -40,6 +40,10 @@ def next_responses(events: DataFrame, limits: Limits | None = None) -> DataFrame
     keys = ["user_id", "offer_id"]
     # A NULL key or time matches nothing: such a receipt stays, without a response.
     known = F.col("user_id").isNotNull() & F.col("offer_id").isNotNull() & F.col("t_us").isNotNull()
+    layout = Layout.of(log, keys, "t_us", limits)
+    if layout.single:
+        # Dealt once, for folding and for the scan.
+        log, layout = layout.dealt(log, *keys), Layout(layout.keys, layout.order)
     instants = (
         log.groupBy(*keys, "t_us")
         .agg(
@@ -58,7 +62,7 @@ def next_responses(events: DataFrame, limits: Limits | None = None) -> DataFrame
                     "completion_us", "min", F.when(F.col("completed") & known, F.col("t_us")), FROM
                 ),
             ],
-            Layout.of(log, keys, "t_us", limits),
+            layout,
         )
         .where("received")
         .select(

@@ -79,14 +79,15 @@ def ordered_scan(rows: DataFrame, running: Sequence[Running], layout: Layout) ->
     """
     keys, order = list(layout.keys), layout.order
     if layout.single:
-        return rows.select("*", *in_partition(running, keys, order))
+        return layout.dealt(rows, *keys).select("*", *in_partition(running, keys, order))
 
     columns = rows.columns
     moved = sorted({r.ago for r in running if r.ago})
     if moved:
         rows, running = _with_copies(rows, running, order, moved)
     # Named explicitly: rows that arrive partitioned by key alone must be spread again.
-    placed = layout.assign(rows).repartition(*keys, CELL)
+    placed = layout.assign(rows)
+    placed = layout.dealt(placed, *keys, CELL) if layout.tasks else placed.repartition(*keys, CELL)
     partition = Window.partitionBy(*keys, CELL)
     inside = placed.select("*", *[_over(r, partition, order).alias(f"_in_{r.name}") for r in running])
 

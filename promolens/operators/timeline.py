@@ -33,6 +33,8 @@ class Clustered:
 
     together: DataFrame
     apart: DataFrame | None = None
+    #: How many tasks `together` is to be dealt to; None leaves it to the session.
+    tasks: int | None = None
 
 
 def narrow(events: DataFrame) -> DataFrame:
@@ -47,17 +49,18 @@ def split_busy(events: DataFrame, limits: Limits | None = None) -> Clustered:
     log = narrow(events)
     layout = Layout.of(log.select(USER, "t_us"), [USER], "t_us", limits)
     if layout.single:
-        return Clustered(log)
+        return Clustered(log, tasks=layout.tasks)
     busy = F.broadcast(layout.hot.select(USER))  # fewer than limits.chunks
     placed = F.col(USER).isNotNull() & F.col("t_us").isNotNull()
     apart = log.join(busy, USER, "left_semi").unionByName(log.where(~placed))
-    return Clustered(log.where(placed).join(busy, USER, "left_anti"), apart)
+    return Clustered(log.where(placed).join(busy, USER, "left_anti"), apart, layout.tasks)
 
 
 def clustered(events: DataFrame, limits: Limits | None = None) -> Clustered:
     """One shuffle, of the narrow events by customer."""
     parts = split_busy(events, limits)
-    return Clustered(parts.together.repartition(USER), parts.apart)
+    dealt = [parts.tasks, USER] if parts.tasks else [USER]
+    return Clustered(parts.together.repartition(*dealt), parts.apart)
 
 
 def _responses() -> list[Running]:

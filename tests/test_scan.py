@@ -130,3 +130,25 @@ def test_layout_of_a_large_input_counts_by_hash(spark, monkeypatch):
     assert [r["k"] for r in layout.hot.collect()] == ["hot"]
     total = ordered_scan(df, [Running("n", "sum", F.col("v"), UPTO)], layout)
     assert total.where("k = 'hot'").agg(F.max("n")).first()[0] == 6667
+
+
+def test_large_input_without_hot_keys_moves_once(spark, monkeypatch):
+    import promolens.operators.layout as layout_module
+
+    monkeypatch.setattr(Limits, "min_rows", 1000)
+    monkeypatch.setattr(layout_module, "TASK_ROWS", 500)
+    df = spark.range(6000).selectExpr("id % 300 as k", "id * 7 % 6007 as t", "1 as v")
+    limits = Limits(chunks=16, min_rows=1000)
+    layout = Layout.of(df, ["k"], "t", limits)
+    # No cells, and as many tasks as the rows ask for, which adaptive execution does not join.
+    assert layout.single and layout.tasks == 12
+    running = [Running("n", "sum", F.col("v"), UPTO)]
+    found = ordered_scan(df, running, layout)
+    assert found.rdd.getNumPartitions() == 12
+    plain = ordered_scan(df, running, Layout(("k",), "t"))
+    assert found.exceptAll(plain).count() == plain.exceptAll(found).count() == 0
+    assert Layout.of(df.limit(900), ["k"], "t", limits).tasks is None
+    # Rows without a key or an order are one partition of a window, so many of them need cells.
+    for gap in ("k", "t"):
+        holes = df.withColumn(gap, F.expr(f"if({gap} % 2 = 0, null, {gap})"))
+        assert not Layout.of(holes, ["k"], "t", limits).single
