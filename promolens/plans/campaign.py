@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from promolens.operators import eventlog, features, opportunities, timeline
-from promolens.operators.layout import Limits
+from promolens.operators.layout import TASK_ROWS, Limits
 from promolens.sources import Clustering, read_table, testdata, write_tables
 
 #: What `Campaign.store` writes.
@@ -101,14 +101,17 @@ class Campaign:
             timeline.history_names(),
         )
 
-    def store(self, path: str | None = None, suffix: str = "", buckets: int = 200) -> Campaign:
+    def store(
+        self, path: str | None = None, suffix: str = "", buckets: int | None = None
+    ) -> Campaign:
         """Write the tables the analysis hands on to the catalog; returns the campaign that reads
         them.
 
         The inputs are parsed and cleaned once: the log and the opportunities are computed from
         the stored tables, not from the raw files again. The narrow events are stored by customer,
         so that responses and history need no shuffle of events any more; those of customers too
-        busy for one task lie in a table of their own.
+        busy for one task lie in a table of their own. A bucket is read by one task: by default
+        there are as many as the number of events asks for, eight at least.
         """
         spark = self.offers.sparkSession
         name = {t: f"{t}{suffix}" for t in TABLES}
@@ -124,6 +127,8 @@ class Campaign:
         stored = Campaign(offers, profile, events, self.limits.at_most)
         stored.limits = self.limits
         parts = timeline.split_busy(events, self.limits)
+        # Answered from file footers, without reading the rows.
+        buckets = buckets or max(8, -(-events.count() // TASK_ROWS))
         by_customer = Clustering((timeline.USER,), ("t_us",), buckets)
         write_tables(
             {name["events_by_customer"]: parts.together}, path, {name["events_by_customer"]: by_customer}

@@ -121,7 +121,7 @@ def _stored(spark: SparkSession, sf_dir: str, limits: Limits | None = None) -> I
     campaign = Campaign.of_testdata(spark, sf_dir)
     campaign.limits = limits or campaign.limits
     try:
-        yield campaign.store(base, suffix, buckets=8)
+        yield campaign.store(base, suffix)
     finally:
         drop_tables(spark, [f"{t}{suffix}" for t in TABLES])
 

@@ -4,13 +4,15 @@ import pytest
 
 import compare
 from promolens.operators import evaluation, features, modeling
-from promolens.plans.campaign import Campaign
+from promolens.plans.campaign import TABLES, Campaign
 from promolens.sources import (
     EVENT_SCHEMA,
     OFFER_SCHEMA,
     PROFILE_SCHEMA,
+    drop_tables,
     read_json,
     scratch_dir,
+    table_versions,
     testdata,
 )
 
@@ -107,3 +109,37 @@ def test_search_draws_stay_in_range():
     for drawn in draws:
         for name, (low, high) in modeling.SEARCH_SPACE.items():
             assert low <= float(drawn[name]) <= high
+
+
+def test_buckets_follow_the_events(spark, monkeypatch):
+    import promolens.plans.campaign as campaign_module
+
+    monkeypatch.setattr(campaign_module, "TASK_ROWS", 10)
+    n, suffix = 240, "_by_size"
+    campaign = Campaign(
+        spark.createDataFrame(
+            [("a", "bogo", 5, 7.0, 5, ["web"])],
+            "id string, offer_type string, min_value long, "
+            "duration double, discount_value long, channels array<string>",
+        ),
+        spark.createDataFrame(
+            [("u1", 30, 100.0, "M", "20170101")],
+            "id string, age long, credit_card_limit double, gender string, registered_on string",
+        ),
+        spark.range(n).selectExpr(
+            "concat('u', id % 40) as account_id",
+            "if(id % 2 = 0, 'offer received', 'transaction') as event",
+            "cast(id as double) as time_since_test_start",
+            "if(id % 2 = 0, 'a', null) as offer_id",
+            "if(id % 2 = 1, 1.5D, null) as amount",
+            "cast(null as double) as reward",
+        ),
+    )
+    try:
+        stored = campaign.store(scratch_dir(spark), suffix)
+        [version] = table_versions(spark, f"events_by_customer{suffix}")
+        described = {r[0]: r[1] for r in spark.sql(f"describe extended {version}").collect()}
+        assert described["Num Buckets"] == "24"
+        assert compare.spark_result(stored.abt) == compare.spark_result(campaign.abt)
+    finally:
+        drop_tables(spark, [f"{t}{suffix}" for t in TABLES])
