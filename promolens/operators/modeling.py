@@ -362,7 +362,11 @@ class PropensityTrainer:
             self._best = (dict(params), float("nan"))
         else:
             self._best = self.tune(train)
-        fitted = self.pipeline(**self._best[0]).fit(numeric_inputs(train, self.numerical))
+        inputs = numeric_inputs(train, self.numerical)
+        encoders = Pipeline(stages=feature_stages(self.numerical, self.categorical)).fit(inputs)
+        # Growing trees reads its rows several times; they are split off and encoded once.
+        rows = self._stored_features(encoders.transform(inputs))
+        fitted = PipelineModel([*encoders.stages, self.learner(**self._best[0]).fit(rows)])
         model = PropensityModel(list(self.numerical), list(self.categorical), fitted)
         calibrator = isotonic(model.raw_scores(calibration), self.target)
         self._model = PropensityModel(model.numerical, model.categorical, fitted, calibrator)

@@ -143,3 +143,27 @@ def test_buckets_follow_the_events(spark, monkeypatch):
         assert compare.spark_result(stored.abt) == compare.spark_result(campaign.abt)
     finally:
         drop_tables(spark, [f"{t}{suffix}" for t in TABLES])
+
+
+def test_trees_grow_on_stored_features(spark, monkeypatch):
+    rows = [
+        (f"u{i % 60}", "a", float(i), i % 7 % 2, float(i * 31 % 17), "xyz"[i % 3]) for i in range(300)
+    ]
+    df = spark.createDataFrame(
+        rows,
+        "customer_id string, offer_id string, time_received double, target int, x double, c string",
+    )
+    stored, write = [], modeling.PropensityTrainer._stored_features
+    monkeypatch.setattr(
+        modeling.PropensityTrainer,
+        "_stored_features",
+        lambda self, rows: stored.append(write(self, rows)) or stored[-1],
+    )
+    trainer, params = modeling.PropensityTrainer(df, ["x"], ["c"]), {"maxIter": 3, "maxDepth": 3}
+    train, test = trainer.train(**params)
+    assert len(stored) == 1 and stored[0].count() == train.count()
+    whole = trainer.pipeline(**params).fit(modeling.numeric_inputs(train, ["x"]))
+    direct = modeling.PropensityModel(["x"], ["c"], whole).raw_scores(test).orderBy("customer_id")
+    again = trainer.model.raw_scores(test).orderBy("customer_id")
+    found = [[r["raw_score"] for r in scores.collect()] for scores in (direct, again)]
+    assert found[0] == pytest.approx(found[1], rel=1e-9)
