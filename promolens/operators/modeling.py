@@ -429,6 +429,9 @@ def permutation_importance(
     features = [*model.numerical, *model.categorical]
     own = ranked(0).select("_rank", target, *features)
     changed = F.explode(F.array(*[F.lit(c) for c in ("", *names)])).alias("feature")
+    # A scan of ranks may end in one task, which would score all rows; each is scored many times.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = own.repartition(tasks, "_rank")
     mixed = own.join(donors, "_rank", "left").select("*", changed)
     swap = {
         c: F.when((F.col("feature") == c) & F.col("_donor").isNotNull(), F.col(f"_donor.{c}"))

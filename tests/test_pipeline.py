@@ -167,3 +167,16 @@ def test_trees_grow_on_stored_features(spark, monkeypatch):
     again = trainer.model.raw_scores(test).orderBy("customer_id")
     found = [[r["raw_score"] for r in scores.collect()] for scores in (direct, again)]
     assert found[0] == pytest.approx(found[1], rel=1e-9)
+
+
+def test_permuted_rows_are_scored_in_many_tasks(spark):
+    rows = [(f"u{i % 40}", "a", float(i), i % 7 % 2, float(i * 31 % 17)) for i in range(200)]
+    df = spark.createDataFrame(
+        rows, "customer_id string, offer_id string, time_received double, target int, x double"
+    )
+    trainer = modeling.PropensityTrainer(df, ["x"], [])
+    _, test = trainer.train(maxIter=2, maxDepth=2)
+    report = modeling.permutation_importance(trainer.model, test, features.KEYS)
+    assert "hashpartitioning(_rank" in report._jdf.queryExecution().executedPlan().toString()
+    [row] = report.collect()
+    assert row["feature"] == "x" and 0 <= row["permuted_pr_auc"] <= 1
