@@ -90,3 +90,10 @@ def dice(*keys: Column | str, seed: int = 42, sides: int = 1_000_000) -> Column:
     """A number below `sides` drawn from the keys alone: a recomputed task draws it again."""
     text = F.concat_ws(":", *[F.coalesce(F.col(k) if isinstance(k, str) else k, F.lit("")) for k in keys], F.lit(str(seed)))
     return F.pmod(F.conv(F.left(F.md5(text), F.lit(8)), 16, 10).cast("bigint"), F.lit(sides))
+
+
+def same_key(key: Column, other: Column, *spread: Column) -> list[Column]:
+    """Conditions of an outer join on texts `key` = `other`. Rows without a key match nothing, and
+    go to many tasks by the hash of `spread` instead of all to one."""
+    dealt = F.concat(F.lit("~"), F.pmod(F.xxhash64(*spread), F.lit(1024)).cast("string"))
+    return [F.coalesce(key.cast("string"), dealt) == other.cast("string"), key == other]

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.functions.columns import age_band, clean_gender, known_age, to_micros, yyyymmdd
+from promolens.functions.columns import (
+    age_band,
+    clean_gender,
+    known_age,
+    same_key,
+    to_micros,
+    yyyymmdd,
+)
 
 
 def flatten_events(transactions: DataFrame) -> DataFrame:
@@ -44,11 +51,15 @@ def event_log(events: DataFrame, profile: DataFrame, offers: DataFrame) -> DataF
     """Flat events with the customer's and the offer's attributes; no event is dropped.
 
     Sizes decide the join strategy: a side goes out by broadcast only below Spark's size
-    threshold, and a customer with very many events is left to the adaptive skew join.
+    threshold, and a customer with very many events is left to the adaptive skew join. Events
+    without an offer are spread over tasks.
     """
     e, p, o = events.alias("e"), profile.alias("p"), offers.alias("o")
+    by_offer = same_key(
+        F.col("e.offer_id"), F.col("o.id"), F.col("e.account_id"), F.col("e.time_since_test_start")
+    )
     return (
-        e.join(o, F.col("e.offer_id") == F.col("o.id"), "left")
+        e.join(o, by_offer, "left")
         .join(p, F.col("e.account_id") == F.col("p.id"), "left")
         .select(
             F.col("e.account_id").alias("user_id"),

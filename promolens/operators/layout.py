@@ -30,6 +30,8 @@ STEP = 1 << 24
 PARTS = 128
 # A task of a large scan gets about so many rows, however large the input.
 TASK_ROWS = 100_000
+# A dimension of more rows is never sent whole to every task.
+SENT_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -153,6 +155,17 @@ def tasks_for(rows: int) -> int | None:
     return None if rows <= Limits.min_rows else -(-rows // TASK_ROWS)
 
 
+def dimension(df: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """`df` as the side of joins that describes the rows of the other one; `counted` has as many
+    rows, where that is cheaper to count.
+
+    Spark sends a side to every task by its stored bytes, but repeated values take few of these and
+    hundreds each in memory. A large side is dealt by key, so a task's memory does not grow with it.
+    """
+    few = (df if counted is None else counted).select(F.lit(1)).limit(SENT_ROWS + 1)
+    return df.hint("merge") if few.count() > SENT_ROWS else df
+
+
 def _all_set(names: Sequence[str]) -> Column:
     out = F.lit(True)
     for name in names:

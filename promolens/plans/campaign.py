@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from promolens.operators import eventlog, features, opportunities, timeline
-from promolens.operators.layout import TASK_ROWS, Limits
+from promolens.operators.layout import TASK_ROWS, Limits, dimension
 from promolens.sources import Clustering, read_table, testdata, write_tables
 
 #: What `Campaign.store` writes.
@@ -25,7 +25,8 @@ TABLES = [
 class Campaign:
     """Lazy tables of one campaign, planned so that wide attributes are joined late.
 
-    `at_most` is an upper bound on the event count, if known; it spares counting.
+    `at_most` is an upper bound on the event count, if known; it spares counting. `counted` are
+    tables with as many rows as `offers` and `profile`, where those are cheaper to count.
     """
 
     def __init__(
@@ -34,11 +35,13 @@ class Campaign:
         profile: DataFrame,
         transactions: DataFrame,
         at_most: int | None = None,
+        counted: tuple[DataFrame, DataFrame] | None = None,
     ):
         self.offers = offers
         self.profile_raw = profile
         self.transactions = transactions
         self.limits = Limits(at_most=at_most)
+        self._counted = counted or (offers, profile)
 
     @staticmethod
     def of_testdata(spark: SparkSession, sf_dir: str) -> Campaign:
@@ -49,6 +52,7 @@ class Campaign:
             testdata.profile(spark, sf_dir),
             testdata.transactions(spark, sf_dir),
             at_most,
+            (testdata.table(spark, sf_dir, "part"), testdata.table(spark, sf_dir, "customer")),
         )
 
     @cached_property
@@ -59,9 +63,19 @@ class Campaign:
     def profile(self) -> DataFrame:
         return eventlog.clean_profile(self.profile_raw)
 
+    @cached_property
+    def joined_offers(self) -> DataFrame:
+        """The offers as joins take them."""
+        return dimension(self.offers, self._counted[0])
+
+    @cached_property
+    def joined_profile(self) -> DataFrame:
+        """The cleaned profiles as joins take them."""
+        return dimension(self.profile, self._counted[1])
+
     @cached_property
     def log(self) -> DataFrame:
-        return eventlog.event_log(self.events, self.profile, self.offers)
+        return eventlog.event_log(self.events, self.joined_profile, self.joined_offers)
 
     @cached_property
     def clustered(self) -> timeline.Clustered:
@@ -74,29 +88,31 @@ class Campaign:
 
     @cached_property
     def opportunities(self) -> DataFrame:
-        return opportunities.opportunities_of_receipts(self.receipts, self.offers, self.profile)
+        return opportunities.opportunities_of_receipts(
+            self.receipts, self.joined_offers, self.joined_profile
+        )
 
     def opportunities_with_band(self, rel_error: float = 0.01) -> DataFrame:
         return opportunities.with_limit_band(self.opportunities, rel_error, self.limits)
 
     @cached_property
     def registrations(self) -> DataFrame:
-        return features.active_registrations(self.profile, self.events)
+        return features.active_registrations(self.joined_profile, self.events)
 
     @cached_property
     def opportunities_with_history(self) -> DataFrame:
         """Opportunities with the running history of their customer; only what is used of it is
         computed."""
         return opportunities.opportunities_of_receipts(
-            self.receipts, self.offers, self.profile, timeline.history_names()
+            self.receipts, self.joined_offers, self.joined_profile, timeline.history_names()
         )
 
     @cached_property
     def abt(self) -> DataFrame:
         return features.abt_of_opportunities(
             self.opportunities_with_history,
-            self.offers,
-            self.profile,
+            self.joined_offers,
+            self.joined_profile,
             self.registrations,
             timeline.history_names(),
         )

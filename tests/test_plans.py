@@ -6,7 +6,7 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
-from promolens.operators import evaluation, segments
+from promolens.operators import evaluation, layout, segments
 from promolens.operators.layout import Limits
 from promolens.plans import queries
 from promolens.plans.campaign import Campaign
@@ -80,3 +80,24 @@ def test_forced_cells_change_no_report(spark, sf_dir):
         lambda n: segments.tx_value_box(c.events, n),
     ):
         assert compare.spark_result(report(None)) == compare.spark_result(report(FORCED))
+
+
+def test_large_dimensions_are_not_sent_to_every_task(spark, sf_dir, monkeypatch):
+    """Their rows count, not their stored bytes; the tables stay the same."""
+    small = Campaign.of_testdata(spark, sf_dir)
+    found = {t: sorted(map(str, getattr(small, t).collect())) for t in ("log", "abt")}
+    monkeypatch.setattr(layout, "SENT_ROWS", 20)
+    large = Campaign.of_testdata(spark, sf_dir)
+    for name, rows in found.items():
+        df = getattr(large, name)
+        assert sorted(map(str, df.collect())) == rows
+        # The adapter of the test tables joins customers with their orders by itself.
+        assert set(re.findall(r"BroadcastHashJoin \[(\w+)", plan(df))) <= {"c_custkey"}
+
+
+def test_events_without_an_offer_are_dealt_to_many_tasks(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(layout, "SENT_ROWS", 20)
+    c = Campaign.of_testdata(spark, sf_dir)
+    dealt = re.findall(r"Exchange hashpartitioning\((coalesce\(offer_id[^,]*, concat\(~)", plan(c.log))
+    assert len(dealt) == 1
+    assert c.log.where("offer_id is null and offer_type is not null").isEmpty()
