@@ -90,14 +90,16 @@ def calibrated(df: DataFrame, blocks: DataFrame, score: str, name: str = "calibr
     two blocks, constant beyond the first and the last; NULL for a NULL score or without blocks.
 
     A score is placed among the blocks' lower ends by one merge of both in the order of scores: the
-    blocks are small next to the rows, so they are one sorted array, a scalar of the same plan.
+    blocks are small next to the rows, so they are one sorted array, a scalar of the same plan. It
+    is never a column, since each row would carry a copy of all blocks, and the search among them
+    takes compiled expressions only. The blocks are counted when this is called.
     """
     rows = blocks.select(F.struct("low", "high", "fitted").alias("b"))
     table = rows.agg(F.sort_array(F.collect_list("b")).alias("t")).scalar()
     at = F.col("_at")
-    last = F.size("_blocks")
-    inside = F.get("_blocks", at - 1)
-    after = F.get("_blocks", at)
+    last = F.size(table)
+    inside = F.get(table, at - 1)
+    after = F.get(table, at)
     x = F.col(score).cast("double")
     share = (x - inside["high"]) / (after["low"] - inside["high"])
     between = inside["fitted"] + share * (after["fitted"] - inside["fitted"])
@@ -107,30 +109,22 @@ def calibrated(df: DataFrame, blocks: DataFrame, score: str, name: str = "calibr
         .when((x <= inside["high"]) | (at == last), inside["fitted"])
         .otherwise(between)
     )
-    return (
-        df.withColumn("_blocks", table)
-        # How many blocks begin at or below the score.
-        .withColumn("_at", _begun(F.col("_blocks"), x))
-        .withColumn(name, fitted)
-        .drop("_blocks", "_at")
-    )
-
-
-def _begun(blocks: Column, x: Column) -> Column:
-    """Bisection over the sorted blocks, in so many steps that any array is searched."""
-    start = F.struct(F.lit(0).alias("low"), F.size(blocks).alias("high"))
-
-    def step(state: Column, _: Column) -> Column:
-        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
-        begun = F.get(blocks, middle)["low"] <= x
-        return F.when(
-            state["low"] >= state["high"], state
-        ).otherwise(
-            F.struct(
-                F.when(begun, middle + 1).otherwise(state["low"]).alias("low"),
-                F.when(begun, state["high"]).otherwise(middle).alias("high"),
-            )
+    # How many blocks begin at or below the score.
+    placed = _begun(df, table, blocks.count(), x)
+    return placed.withColumn(name, fitted).drop("_at", "_end")
+
+
+def _begun(df: DataFrame, table: Column, n: int, x: Column) -> DataFrame:
+    """`df` with `_at`, how many of the `n` sorted blocks begin at or below `x`, by bisection."""
+    low, high = F.col("_at"), F.col("_end")
+    middle = F.shiftright(low + high, 1)
+    begun = F.coalesce(F.get(table, middle)["low"] <= x, F.lit(False))
+    df = df.withColumns({"_at": F.lit(0), "_end": F.lit(n)})
+    for _ in range(n.bit_length()):
+        df = df.withColumns(
+            {
+                "_at": F.when((low < high) & begun, middle + 1).otherwise(low),
+                "_end": F.when((low < high) & ~begun, middle).otherwise(high),
+            }
         )
-
-    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(blocks) + F.lit(2))).cast("int"))
-    return F.aggregate(steps, start, step, lambda s: s["low"])
+    return df

@@ -116,6 +116,24 @@ def test_only_blocks_are_passed_on(spark):
     assert pooling.isotonic_blocks(df, "score", "y", 16).count() < 20
 
 
+def columns_of(df, operator=None):
+    """Column types of the nodes of a plan, or of one operator of it."""
+    nodes, out = [df._jdf.queryExecution().optimizedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        if operator in (None, node.nodeName()):
+            out.append(node.schema().simpleString())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return out
+
+
+def test_no_row_carries_the_blocks(spark):
+    df = spark.range(200).selectExpr("id / 200 as score", "cast(id % 3 = 0 as double) as y")
+    blocks = pooling.isotonic_blocks(df, "score", "y", 4)
+    found = columns_of(pooling.calibrated(df, blocks, "score"))
+    assert len(found) > 1 and not any("array" in types for types in found)
+
+
 @pytest.fixture(scope="module")
 def fitted(spark):
     rows = spark.range(900).selectExpr(
