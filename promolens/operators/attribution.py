@@ -83,17 +83,20 @@ def contributions(trees: Sequence[Tree], owner: np.ndarray, x: np.ndarray) -> tu
     return sum(t.weight * t.mean[0] for t in trees), out
 
 
-def attributions(model: PropensityModel, df: DataFrame) -> DataFrame:
+def attributions(
+    model: PropensityModel, df: DataFrame, carried: Sequence[str] | None = None
+) -> DataFrame:
     """`df` with `base`, the margin before any input is known, and `contributions`, one number per
     input in the order of `model.inputs`; base and contributions add up to the raw margin.
 
-    Every row and column stays; a row is never multiplied. Missing numbers count as the model
-    sees them.
+    Every row stays, with all columns or those `carried`; a row is never multiplied. Missing numbers
+    count as the model sees them.
     """
+    carried = df.columns if carried is None else list(carried)
     trees = trees_of(model, df)
     names = model.inputs
     owner = np.array([names.index(c) for c in model.feature_owners()])
-    given = [*df.columns, "base", "contributions"]
+    given = [*carried, "base", "contributions"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,12 +110,12 @@ def attributions(model: PropensityModel, df: DataFrame) -> DataFrame:
                 names=given,
             )
 
-    kept = numeric_inputs(df.withColumn("_row", F.struct(*df.columns)), model.numerical)
+    kept = numeric_inputs(df.withColumn("_row", F.struct(*carried)), model.numerical)
     vectors = model.pipeline.transform(kept)
     rows = vectors.select(
-        *[F.col(f"_row.{c}").alias(c) for c in df.columns], vector_to_array("features").alias("_x")
+        *[F.col(f"_row.{c}").alias(c) for c in carried], vector_to_array("features").alias("_x")
     )
-    schema = StructType(list(df.schema.fields))
+    schema = StructType([df.schema[c] for c in carried])
     schema = schema.add("base", DoubleType()).add("contributions", ArrayType(DoubleType()))
     return rows.mapInArrow(run, schema)
 
@@ -121,7 +124,7 @@ def attribution_summary(model: PropensityModel, df: DataFrame) -> DataFrame:
     """One row per input: mean_abs (its weight in the model), mean, share_up (of rows it pushes
     up), and direction: 1 if larger values push up, -1 if they push down, NULL for categories, and
     for an input that is constant or never used."""
-    rows = attributions(model, df)
+    rows = attributions(model, df, model.numerical)
     parts = []
     for k, name in enumerate(model.inputs):
         c = F.get("contributions", F.lit(k))
@@ -154,7 +157,7 @@ def reasons(
     )
     strongest = F.slice(F.sort_array(F.filter(named, lambda r: r["contribution"] != 0)), 1, top_n)
     return (
-        attributions(model, df)
+        attributions(model, df, keys)
         .select(*keys, F.posexplode(strongest).alias("_at", "_reason"))
         .select(
             *keys,

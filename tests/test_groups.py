@@ -187,6 +187,12 @@ def test_reasons_are_the_strongest_inputs(fitted):
         assert max(map(abs, of[time])) == ranks[1]
 
 
+def test_reasons_pass_on_their_keys_alone(fitted):
+    model, rows = fitted
+    found = columns_of(attribution.reasons(model, rows, ["customer_id"]), "MapInArrow")
+    assert found == ["struct<customer_id:string,base:double,contributions:array<double>>"]
+
+
 @pytest.mark.parametrize("n, keep", [(50, 3), (1, 3), (4, 2), (27, 3), (2, 5)])
 def test_a_race_drops_weak_sets_early(n, keep):
     draws = [{"quality": (i * 7919) % 101, "maxIter": 270} for i in range(n)]
