@@ -36,12 +36,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """`batch` in order, halved until each piece keeps to `ROWS` and `BYTES`."""
-    if batch.num_rows > 1 and (batch.num_rows > ROWS or batch.nbytes > BYTES):
+def pieces(batch: pa.RecordBatch, most: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """`batch` in order, halved until each piece keeps to `most` rows and `BYTES`."""
+    if batch.num_rows > 1 and (batch.num_rows > most or batch.nbytes > BYTES):
         half = batch.num_rows // 2
-        yield from pieces(batch.slice(0, half))
-        yield from pieces(batch.slice(half))
+        yield from pieces(batch.slice(0, half), most)
+        yield from pieces(batch.slice(half), most)
     elif batch.num_rows:
         yield batch
 
@@ -67,14 +67,17 @@ def serve(module: str) -> None:
 
 
 def map_columns(
-    df: DataFrame, rows: Callable[[Iterable[Columns]], Iterator[Columns]], schema: str
+    df: DataFrame,
+    rows: Callable[[Iterable[Columns]], Iterator[Columns]],
+    schema: str,
+    most: int = ROWS,
 ) -> DataFrame:
-    """A task's rows through `rows`, which gets and gives columns of a few input rows."""
+    """A task's rows through `rows`, which gets and gives columns of `most` input rows or fewer."""
     kind = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serve(rows.__module__)
-        for out in rows(p.to_pydict() for b in batches for p in pieces(b)):
+        for out in rows(p.to_pydict() for b in batches for p in pieces(b, most)):
             yield pa.RecordBatch.from_pydict(out, kind)
         # A worker lives on after its task; other tasks shall have the memory.
         pa.default_memory_pool().release_unused()

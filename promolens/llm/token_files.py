@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promolens.llm.common import Columns, map_columns, running_offsets
-from promolens.llm.wordpieces import word_ids
+from promolens.llm.wordpieces import AT_ONCE, word_ids
 from promolens.sources import scratch_dir
 
 CHUNK = 8
@@ -126,7 +126,8 @@ def write_files(docs: DataFrame, path: str, tokenizer: str, end: int = 1) -> Non
             yield close()
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id")
-    map_columns(ordered.sortWithinPartitions("doc_id", "text"), rows, SEGMENTS).write.parquet(path)
+    ordered = ordered.sortWithinPartitions("doc_id", "text")
+    map_columns(ordered, rows, SEGMENTS, AT_ONCE).write.parquet(path)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
@@ -146,12 +147,14 @@ def read_documents(segments: DataFrame) -> DataFrame:
                 codes = Codes(batch["chunks"][i], batch["marks"][i], batch["ranks"][i])
                 starts, total = batch["starts"][i], batch["tokens"][i]
                 ends = [*starts[1:], total]
+                # Every document is wanted, so the segment is one range.
+                ids = codes.tokens(0, total).astype("<u4", copy=False).tobytes()
                 yield {
                     "part": [part] * len(starts),
                     "doc_id": batch["doc_ids"][i],
                     "start": [batch["before"][i] + s for s in starts],
                     "n_tokens": [e - s for s, e in zip(starts, ends)],
-                    "ids": [codes.tokens(s, e).tobytes() for s, e in zip(starts, ends)],
+                    "ids": [ids[4 * s : 4 * e] for s, e in zip(starts, ends)],
                 }
 
     schema = "part long, doc_id long, start long, n_tokens long, ids binary"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import string
 import zlib
 from collections import defaultdict
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from promolens.llm import bpe, packing, queries, token_files
+from promolens.llm.common import map_columns
 from promolens.llm.wordpieces import WordIds
 
 BYTE, WORD = Tokenizer.from_file(queries.BYTE_BPE), Tokenizer.from_file(queries.WORD_BPE)
@@ -65,6 +67,42 @@ def test_word_lookup_is_the_librarys():
             assert np.frombuffer(ids, "<u4").tolist() == word_ids(text)[:-1]
 
 
+def test_words_are_looked_up_once_and_without_stops(monkeypatch):
+    asked = []
+    of_word = WordIds._by_tokenizer
+    own = WordIds(queries.WORD_BPE)
+    monkeypatch.setattr(WordIds, "_by_tokenizer", lambda self, w: asked.append(w) or of_word(self, w))
+    own._ends, own._whole = (type(own._ends)(own._by_tokenizer, 64) for _ in range(2))
+
+    class Counted(type(own._known)):
+        def __getitem__(self, key):
+            looked_up.append(key)
+            return super().__getitem__(key)
+
+    looked_up = []
+    own._known = Counted(own._bare, 1 << 10)
+    texts = ["Zebra$$$ zebra e-7. zebra, e-7$$$ " * 50, None, "zebra--- слово. <|endoftext|>. it's! 'tis' ·."]
+    found = own.encode(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [word_ids(t)[:-1] for t in texts]
+    assert looked_up.count("zebra") == 1 and len(looked_up) < 20
+    assert sorted(asked) == sorted(
+        ["", "$$$", ".", ",", "---", "!", "'", "e-7", "it's", "'tis", "слово.", "<|endoftext|>.", "·."]
+    )
+
+
+def test_stops_of_any_kind_and_length():
+    draw = random.Random(6)
+    tails = [*string.punctuation, "...", "$$$", "'.", "<|", "|>", "-" * 100, ""]
+    heads = [*PARTS, "Ab", "x9", "don't", "a.b", "слово", "²", "é"]
+    texts = [" ".join(draw.choice(heads) + draw.choice(tails) for _ in range(9)) for _ in range(1500)]
+    own = WordIds(queries.WORD_BPE, remembered=64)
+    for start in range(0, len(texts), 300):
+        part = texts[start : start + 300]
+        for text, ids in zip(part, own.encode(part)):
+            assert np.frombuffer(ids, "<u4").tolist() == word_ids(text)[:-1]
+    assert own.encode([]) == [] and own.encode([None, ""]) == [b"", b""]
+
+
 def test_encode_and_decode_odd_rows(odd):
     tokens = bpe.encoded(odd, queries.BYTE_BPE)
     found = sorted((r.doc_id or -1, np.frombuffer(r.ids, "<u4").tolist()) for r in tokens.collect())
@@ -165,6 +203,25 @@ def test_files_of_odd_rows(odd, nothing, monkeypatch):
     assert token_files.round_trip(nothing, queries.WORD_BPE).count() == 0
 
 
+def test_a_segment_is_read_in_one_range(odd, tmp_path, monkeypatch):
+    path = str(tmp_path / "files")
+    token_files.write_files(odd.coalesce(1), path, queries.WORD_BPE)
+    segments = token_files.read_segments(odd.sparkSession, path)
+    maps = []
+    monkeypatch.setattr(
+        token_files, "map_columns", lambda df, rows, *a: maps.append(rows) or map_columns(df, rows, *a)
+    )
+    documents = token_files.read_documents(segments)
+    ranges, of_range = [], token_files.Codes.tokens
+    monkeypatch.setattr(
+        token_files.Codes, "tokens", lambda self, a, b: ranges.append((a, b)) or of_range(self, a, b)
+    )
+    batch = {c: list(v) for c, v in zip(segments.columns, zip(*segments.collect()))}
+    read = [row for out in maps[0]([batch]) for row in zip(out["doc_id"], out["ids"])]
+    assert sorted(ranges) == sorted((0, n) for n in batch["tokens"])
+    assert sorted(map(repr, read)) == sorted(repr((r.doc_id, bytes(r.ids))) for r in documents.collect())
+
+
 def test_op1_of_nothing(odd, nothing):
     assert bpe.round_trip_digests(nothing, queries.BYTE_BPE).count() == 0
     empty = odd.where(F.col("doc_id").isin(1, 2)).select("doc_id", "text", "n")
