@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promolens.llm.common import Columns, map_columns, stored
-from promolens.llm.wordpieces import word_ids
+from promolens.llm.wordpieces import AT_ONCE, word_ids
 
 END = 1
 WIDTH = 4  # bytes of an id
@@ -52,7 +52,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end: int = END) ->
             yield out
 
     schema = ", ".join(f"{k} {v}" for k, v in PIECE_COLUMNS.items())
-    return map_columns(docs.select("doc_id", "text"), rows, schema)
+    return map_columns(docs.select("doc_id", "text"), rows, schema, AT_ONCE)
 
 
 PIECE_COLUMNS = {
