@@ -22,7 +22,7 @@ from promolens.operators.groups import in_share, with_balanced_fold
 from promolens.operators.layout import Layout, Limits
 from promolens.operators.policy import best_threshold
 from promolens.operators.pooling import calibrated, isotonic_blocks
-from promolens.operators.ranking import ALL
+from promolens.operators.ranking import ALL, default_tie
 from promolens.operators.scan import FROM, UPTO, Running, ordered_scan
 from promolens.sources import scratch_dir
 
@@ -378,7 +378,18 @@ class PropensityTrainer:
         return self.model.predict_proba(df).withColumn("y", F.col(self.target).cast("int"))
 
     def evaluate_ranking(self, df: DataFrame, k: int = 5000, tie: str | None = None) -> DataFrame:
-        return evaluation_report(self.scored(df), k, tie, self.limits)
+        """The `evaluation_report` of `df`, whose rows are scored once, when this is called.
+
+        The report names its rows in each of its subqueries. Stored, they are a scan there; else each
+        holds the whole scoring, itself full of subqueries, and the driver plans hundreds of them.
+        """
+        scored = self.scored(df)
+        tie_value = F.col(tie) if tie else default_tie(scored)
+        path = scratch_dir(df.sparkSession)
+        narrow = scored.select("y", "score", tie_value.alias("_tie"))
+        narrow.write.parquet(path)
+        stored = df.sparkSession.read.schema(narrow.schema).parquet(path)
+        return evaluation_report(stored, k, "_tie", self.limits)
 
     def find_threshold(self, df: DataFrame, value: float, cost: float) -> DataFrame:
         return best_threshold(self.scored(df), value, cost)

@@ -180,3 +180,39 @@ def test_permuted_rows_are_scored_in_many_tasks(spark):
     assert "hashpartitioning(_rank" in report._jdf.queryExecution().executedPlan().toString()
     [row] = report.collect()
     assert row["feature"] == "x" and 0 <= row["permuted_pr_auc"] <= 1
+
+
+@pytest.fixture(scope="module")
+def ranker(spark):
+    """A trained model, its test rows, and these with their scores."""
+    rows = [(f"u{i % 60}", "a", float(i), i % 7 % 2, float(i * 31 % 17)) for i in range(300)]
+    df = spark.createDataFrame(
+        rows, "customer_id string, offer_id string, time_received double, target int, x double"
+    )
+    trainer = modeling.PropensityTrainer(df, ["x"], [])
+    _, test = trainer.train(maxIter=2, maxDepth=2)
+    scored = trainer.scored(test)
+    return trainer, test, spark.createDataFrame(scored.collect(), scored.schema)
+
+
+@pytest.mark.parametrize("tie", [None, "x"])
+def test_a_ranking_is_planned_over_rows_scored_before(ranker, tie):
+    trainer, test, scored = ranker
+    assert scored.count() == 60 > scored.select("score").distinct().count()
+    found = trainer.evaluate_ranking(test, 7, tie)
+    direct = evaluation.evaluation_report(scored, 7, tie)
+    assert found.columns == direct.columns
+    assert list(found.first()) == pytest.approx(list(direct.first()), rel=1e-12)
+    plans = [
+        d._jdf.queryExecution().optimizedPlan().toString() for d in (trainer.scored(test), found)
+    ]
+    # Trees score in functions, and the text of a plan holds its subqueries.
+    assert ["UDF(" in p for p in plans] == [True, False]
+
+
+@pytest.mark.parametrize("k", [5, 0])
+def test_a_ranking_of_no_rows(ranker, k):
+    trainer, test, scored = ranker
+    found = trainer.evaluate_ranking(test.where("target > 1"), k).collect()
+    direct = evaluation.evaluation_report(scored.where("target > 1"), k).collect()
+    assert str(found) == str(direct)
